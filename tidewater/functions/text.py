@@ -154,9 +154,9 @@ def lemmatize_with_map(tokens, lexicon: dict[str, str]) -> Column:
     m = F.create_map(*[x for k, v in sorted(lexicon.items()) for x in (F.lit(k), F.lit(v))])
 
     def one(w):
-        known = F.filter(F.transform(lemma_candidates(w), lambda f: F.element_at(m, f)),
-                         lambda x: x.isNotNull())
-        best = F.array_min(F.transform(known, lambda x: F.struct(F.length(x).alias("n"), x.alias("v"))))
+        looked = F.transform(lemma_candidates(w), lambda f, i: F.struct(
+            F.length(F.element_at(m, f)).alias("n"), i.alias("i"), F.element_at(m, f).alias("v")))
+        best = F.array_min(F.filter(looked, lambda x: x["v"].isNotNull()))
         return F.coalesce(best["v"], w)
 
     return F.transform(_c(tokens), one)
@@ -182,14 +182,22 @@ def key_value_entries(c) -> Column:
         py_strip(F.substring(l, F.instr(l, ": ") + 2, F.lit(1 << 30))).alias("value")))
 
 
-def parse_key_values(c) -> Column:
-    """Map of 'Key: value' lines; a later duplicate key wins."""
-    e = key_value_entries(c)
+def last_wins_map(e) -> Column:
+    """Map from (key, value) entries where a later duplicate key wins.
+
+    ``e`` should be a column reference: lambda bodies re-evaluate expressions.
+    """
+    e = _c(e)
     last = F.filter(e, lambda x, i: ~F.exists(F.slice(e, i + 2, F.size(e) + 1),
                                               lambda y: y["key"] == x["key"]))
     return F.map_from_entries(last)
 
 
+def parse_key_values(c) -> Column:
+    """Map of 'Key: value' lines; a later duplicate key wins (small texts; see last_wins_map)."""
+    return last_wins_map(key_value_entries(c))
+
+
 def project_extraction(m) -> list[Column]:
     """Summary / port default '' ; date default null."""
     m = _c(m)
@@ -210,11 +218,11 @@ def extract_block_fields(block) -> list[Column]:
     (?d) makes '.' and '$' treat only '\\n' as a line end, as Python does.
     """
     b = _c(block)
-    ev = r"(?sd)Disruption event:\s*(.*?)(?=Port Affected:|$)"
-    port = r"(?sd)Port Affected:\s*(.*?)(?=Date:|$)"
-    date = r"(?d)Date:\s*(.*)"
+    ev = f"(?sd)Disruption event:{PY_WS}*(.*?)(?=Port Affected:|$)"
+    port = f"(?sd)Port Affected:{PY_WS}*(.*?)(?=Date:|$)"
+    date = f"(?d)Date:{PY_WS}*(.*)"
     return [
-        py_strip(_group1_or_null(b, r"(\S+)")).alias("_id"),
+        py_strip(_group1_or_null(b, f"([^{PY_SPACE}]+)")).alias("_id"),
         py_strip(_group1_or_null(b, ev)).alias("event"),
         py_strip(_group1_or_null(b, port)).alias("port_affected"),
         py_strip(_group1_or_null(b, date)).alias("date"),
@@ -224,7 +232,7 @@ def extract_block_fields(block) -> list[Column]:
 def block_is_complete(block) -> Column:
     """all four block patterns match."""
     b = _c(block)
-    return (b.rlike(r"\S") & b.contains("Disruption event:") & b.contains("Port Affected:")
+    return (b.rlike(f"[^{PY_SPACE}]") & b.contains("Disruption event:") & b.contains("Port Affected:")
             & b.contains("Date:"))
 
 
@@ -232,10 +240,10 @@ def extract_section_fields(section) -> list[Column]:
     """Event (needs a newline after it), port, date, final classification; null if absent."""
     s = _c(section)
     return [
-        py_strip(_group1_or_null(s, r"(?d)Disruption event:\s*(.*)\n")).alias("disruption_event"),
-        py_strip(_group1_or_null(s, r"(?d)Port Affected:\s*(.*)")).alias("port_affected"),
-        py_strip(_group1_or_null(s, r"(?d)Date:\s*(.*)")).alias("date"),
-        py_strip(_group1_or_null(s, r"(?d)Final Classification:\s*\*\*(.*)\*\*")).alias("final_classification"),
+        py_strip(_group1_or_null(s, f"(?d)Disruption event:{PY_WS}*(.*)\n")).alias("disruption_event"),
+        py_strip(_group1_or_null(s, f"(?d)Port Affected:{PY_WS}*(.*)")).alias("port_affected"),
+        py_strip(_group1_or_null(s, f"(?d)Date:{PY_WS}*(.*)")).alias("date"),
+        py_strip(_group1_or_null(s, f"(?d)Final Classification:{PY_WS}*\\*\\*(.*)\\*\\*")).alias("final_classification"),
     ]
 
 
@@ -290,12 +298,17 @@ def parse_level(c) -> Column:
     return py_strip(_c(c)).try_cast("int")
 
 
+def trigram_text(c) -> Column:
+    """Lower-cased text with every non-word character removed (the trigram source)."""
+    return F.regexp_replace(F.lower(_c(c)), f"{PY_NON_WORD}+", "")
+
+
 def char_trigrams(c) -> Column:
-    """Lower, drop non-word characters, every 3-character substring (empty if shorter)."""
-    s = F.regexp_replace(F.lower(_c(c)), f"{PY_NON_WORD}+", "")
-    n = F.length(s)
-    return F.when(n >= 3, F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substring(s, i, 3))) \
-        .otherwise(F.array().cast("array<string>"))
+    """Lower, drop non-word characters, every 3-character substring (empty if shorter).
+
+    One regex pass: a zero-width lookahead captures the overlapping windows.
+    """
+    return F.regexp_extract_all(trigram_text(c), F.lit("(?=(.{3}))"), 1)
 
 
 WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + PY_SPACE + "]"
@@ -312,7 +325,10 @@ def alpha_tokens(c) -> Column:
 
 
 def word_ngrams(tokens, n_max: int = 2) -> Column:
-    """All 1..n_max-word phrases of a token array, in order."""
+    """All 1..n_max-word phrases of a token array, in order.
+
+    Pass a column reference (not an expression): lambda bodies re-evaluate it per element.
+    """
     t = _c(tokens)
     out = t
     for n in range(2, n_max + 1):
