@@ -1 +1 @@
-"""Queries (filled in below)."""
+"""Queries (dedup lives in q_vectors)."""
