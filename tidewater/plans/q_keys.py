@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
 from tidewater.operators import joins, upsert
-from tidewater.plans.q_text import BLOCK_SPARK
 from tidewater.plans.registry import query
 from tidewater.plans.views import ARTICLES_SQL, articles
 from tidewater.schemas import ARTICLE_FIELDS

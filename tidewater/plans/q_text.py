@@ -48,8 +48,6 @@ def q_clean_text(spark, sf_dir):
 
 # ---------------------------------------------------------------- T2 / T3
 BOILER = "text || '... more (Reporting by ' || source || ') (Editing x) Join the gCaptain club'"
-BOILER_SPARK = F.concat(F.col("text"), F.lit("... more (Reporting by "), F.col("source"),
-                        F.lit(") (Editing x) Join the gCaptain club"))
 
 
 def s_cut(x: str, marker: str) -> str:
@@ -180,7 +178,8 @@ def q_null_out_placeholders(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- T10 / T11
-KV_SPARK = F.concat(F.lit("Disruption event: "), F.substring_index("text", "\n", 1),
+def kv_spark():
+    return F.concat(F.lit("Disruption event: "), F.substring_index("text", "\n", 1),
                     F.lit("\nPort Affected: "), F.col("source"), F.lit("\nDate:\n"),
                     F.lit("Port Affected:  "), F.col("lang"), F.lit(" \n 1. Disruption event: x"))
 KV_SQL = ("'Disruption event: ' || split_part(text, chr(10), 1) || chr(10) || 'Port Affected: ' || source"
@@ -207,13 +206,14 @@ FROM (SELECT doc_id, {s_kv_entries(KV_SQL)} AS ents FROM documents)
 """)
 def q_parse_key_values(spark, sf_dir):
     """T10 + T11: 'Key: value' answer -> map (last duplicate wins) -> projected fields."""
-    d = docs(spark, sf_dir).select("doc_id", T.key_value_entries(KV_SPARK).alias("ents"))
+    d = docs(spark, sf_dir).select("doc_id", T.key_value_entries(kv_spark()).alias("ents"))
     d = d.select("doc_id", T.last_wins_map("ents").alias("m"))
     return d.select("doc_id", *T.project_extraction(F.col("m")), F.size("m").alias("n_keys"))
 
 
 # ---------------------------------------------------------------- T12 / F10
-BLOCK_SPARK = F.concat(F.lit(" "), F.col("doc_id").cast("string"), F.lit("\nDisruption event:  "),
+def block_spark():
+    return F.concat(F.lit(" "), F.col("doc_id").cast("string"), F.lit("\nDisruption event:  "),
                        F.regexp_replace(F.substring("text", 1, 200), "Date:|Port Affected:", ""),
                        F.lit("\n"), F.when(F.col("lang") != "de", F.lit("Port Affected: ")).otherwise(F.lit("")),
                        F.col("source"), F.lit("\nDate: \n"), F.col("lang"), F.lit("\n"))
@@ -238,12 +238,13 @@ WHERE regexp_matches(b, '[^{T.PY_SPACE}]') AND contains(b, 'Disruption event:')
 """)
 def q_extract_block_fields(spark, sf_dir):
     """T12 + F10: fields of 'id:' blocks; blocks without a port label are dropped."""
-    b = docs(spark, sf_dir).select(BLOCK_SPARK.alias("block"))
+    b = docs(spark, sf_dir).select(block_spark().alias("block"))
     return filters.drop_unmatched_extractions(b).select(*T.extract_block_fields(F.col("block")))
 
 
 # ---------------------------------------------------------------- T13 / T14
-SECTION_SPARK = F.concat(F.lit("Disruption event: **"), F.substring_index("text", "\n", 1),
+def section_spark():
+    return F.concat(F.lit("Disruption event: **"), F.substring_index("text", "\n", 1),
                          F.lit("**\nPort Affected: ## "), F.col("source"), F.lit("\nDate: "), F.col("lang"),
                          F.when(F.col("n_chars") % 2 == 0, F.lit("\nFinal Classification: **Port Closure** x **"))
                          .otherwise(F.lit("")))
@@ -270,14 +271,15 @@ SELECT doc_id, {s_strip_markup('e')} AS disruption_event, {s_strip_markup('p')}
 """)
 def q_extract_section_fields(spark, sf_dir):
     """T13 + T14: numbered-answer sections -> fields with markup removed."""
-    d = docs(spark, sf_dir).select("doc_id", SECTION_SPARK.alias("sec"))
+    d = docs(spark, sf_dir).select("doc_id", section_spark().alias("sec"))
     f = d.select("doc_id", *T.extract_section_fields(F.col("sec")))
     return f.select("doc_id", *[T.strip_markup(c).alias(c) for c in
                                 ["disruption_event", "port_affected", "date", "final_classification"]])
 
 
 # ---------------------------------------------------------------- T15
-LABEL_LINE_SPARK = F.concat(F.col("doc_id").cast("string"), F.lit(". "), F.substring_index("text", " ", 3),
+def label_line_spark():
+    return F.concat(F.col("doc_id").cast("string"), F.lit(". "), F.substring_index("text", " ", 3),
                             F.lit(" Port "), F.element_at(F.array(
                                 *[F.lit(x) for x in ["Strike", "Closure Port Attack", "Delays", "Seizure and None"]]),
                                 (F.pmod("n_chars", F.lit(4)) + 1).cast("int")))
@@ -297,7 +299,7 @@ SELECT doc_id, {s_first_label('line')} AS risk_type FROM (SELECT doc_id, {LABEL_
 """)
 def q_first_label(spark, sf_dir):
     """First port label contained in each numbered answer line."""
-    d = docs(spark, sf_dir).select("doc_id", LABEL_LINE_SPARK.alias("line"))
+    d = docs(spark, sf_dir).select("doc_id", label_line_spark().alias("line"))
     return d.select("doc_id", T.first_label("line").alias("risk_type"))
 
 

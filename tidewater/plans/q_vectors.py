@@ -188,11 +188,8 @@ def q_jaccard_pairs_minhash(spark, sf_dir):
 @query("dedup_minhash")
 def q_dedup_minhash(spark, sf_dir):
     """D3: greedy in doc_id order over MinHash edges (estimate >= 0.9); kept documents."""
-    d = scan_table(spark, sf_dir, "documents")
-    pairs = minhash.jaccard_pairs(d, "doc_id", "text", 0.9)
-    status = dedup.greedy_resolve(pairs)
-    return dedup.apply_status(d.select("doc_id", "source"), "doc_id", status).where("is_unique") \
-        .select("doc_id", "source")
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return dedup.dedup_minhash(d, "doc_id", "text", 0.9).select("doc_id", "source")
 
 
 FLAGSHIP_EDGES = f"""{WORDS_SQL.strip()}, {MEAN_SQL.strip()},
