@@ -1 +1,138 @@
-"""Queries (filled in below)."""
+"""Queries for clustering, k selection and model scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import clustering
+from tidewater.plans.registry import query
+from tidewater.sources.tables import scan_table
+
+K_RANGE = list(range(2, 10))
+
+
+def emb(spark, sf_dir):
+    return scan_table(spark, sf_dir, "embeddings")
+
+
+# ------------------------------------------------------------------ M4 silhouette
+SIL_SQL = """
+WITH p AS (SELECT a.vec_id AS key, a.{c} AS ca, b.{c} AS cb,
+                  sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+                       lambda q: (q[1] - q[2]) * (q[1] - q[2])))) AS d
+           FROM {src} a JOIN {src} b ON a.vec_id <> b.vec_id {same_k}),
+per AS (SELECT key, ca, cb, avg(d) AS m FROM p GROUP BY key, ca, cb),
+s AS (SELECT key, max(CASE WHEN ca = cb THEN m END) AS a, min(CASE WHEN ca <> cb THEN m END) AS b FROM per GROUP BY key)
+"""
+
+
+@query("silhouette", sql=SIL_SQL.format(c="label", src="embeddings", same_k="") + """
+SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM (SELECT e.vec_id AS key, s.a, s.b FROM embeddings e LEFT JOIN s ON s.key = e.vec_id)
+""")
+def q_silhouette(spark, sf_dir):
+    """M4: mean Euclidean silhouette of the embeddings under their label as the assignment."""
+    per = clustering.silhouette_per_row(emb(spark, sf_dir), "vec_id", "embedding", "label")
+    return per.agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+# ------------------------------------------------------------------ M3 metrics under given assignments
+def given_assignments(spark, sf_dir):
+    """Each embedding for every k in 2..9 with cluster = label mod k (a fixed assignment rule)."""
+    e = emb(spark, sf_dir)
+    ks = F.array(*[F.lit(k).cast("long") for k in K_RANGE])
+    return e.select("vec_id", "embedding", "label", F.explode(ks).alias("k")) \
+        .withColumn("cluster", F.pmod("label", F.col("k")))
+
+
+GIVEN_CTE = """
+g AS (SELECT e.vec_id, e.embedding, k, e.label % k AS cluster FROM embeddings e, range(2, 10) t(k)),
+dims AS (SELECT k, cluster, idx, sum(x) AS sx, sum(x * x) AS sxx, count(*) AS n FROM (
+           SELECT k, cluster, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS idx FROM g)
+         GROUP BY k, cluster, idx),
+inert AS (SELECT k, sum(sxx) - sum(sx * sx / n) AS inertia FROM dims GROUP BY k),
+pd AS (SELECT a.k, a.vec_id AS key, a.cluster AS ca, b.cluster AS cb,
+              sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+                   lambda q: (q[1] - q[2]) * (q[1] - q[2])))) AS d
+       FROM g a JOIN g b ON a.k = b.k AND a.vec_id <> b.vec_id WHERE a.k > 2),
+per AS (SELECT k, key, ca, cb, avg(d) AS m FROM pd GROUP BY ALL),
+s AS (SELECT k, key, max(CASE WHEN ca = cb THEN m END) AS a, min(CASE WHEN ca <> cb THEN m END) AS b
+      FROM per GROUP BY k, key),
+sil AS (SELECT k, avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette
+        FROM s GROUP BY k),
+metrics AS (SELECT inert.k, inert.inertia, coalesce(sil.silhouette, 0.0) AS silhouette
+            FROM inert LEFT JOIN sil ON inert.k = sil.k)
+"""
+
+
+def metrics_given(spark, sf_dir):
+    """(k, inertia, silhouette) for k = 2..9 under cluster = label mod k; silhouette 0 at k = 2."""
+    g = given_assignments(spark, sf_dir)
+    inert = clustering.inertia_given(g.withColumn("kc", F.col("k") * 100 + F.col("cluster")), "embedding", "kc") \
+        .select((F.floor(F.col("c") / 100)).cast("long").alias("k"), "inertia") \
+        .groupBy("k").agg(F.sum("inertia").alias("inertia"))
+    # silhouette per k: keys made unique per k, clusters made unique per k
+    g2 = g.where(F.col("k") > 2).select((F.col("k") * 1_000_000_000 + F.col("vec_id")).alias("key"), "k",
+                                        "embedding", (F.col("k") * 100 + F.col("cluster")).alias("kc"))
+    per = clustering.silhouette_per_row(g2, "key", "embedding", "kc", group="k")
+    sil = per.select((F.floor(F.col("key") / 1_000_000_000)).cast("long").alias("k"), "silhouette") \
+        .groupBy("k").agg(F.avg("silhouette").alias("silhouette"))
+    return inert.join(sil, "k", "left").select("k", "inertia", F.coalesce("silhouette", F.lit(0.0)).alias("silhouette"))
+
+
+@query("k_metrics", sql="WITH " + GIVEN_CTE + """
+SELECT k, round(inertia, 3) AS inertia, round(silhouette, 6) AS silhouette FROM metrics
+""")
+def q_k_metrics(spark, sf_dir):
+    """M3/M4 metrics (inertia, silhouette) for k = 2..9 under the assignment label mod k."""
+    m = metrics_given(spark, sf_dir)
+    return m.select("k", F.round("inertia", 3).alias("inertia"), F.round("silhouette", 6).alias("silhouette"))
+
+
+KNEE_SQL = """
+kd AS (SELECT k AS x, inertia AS y, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM metrics),
+kn AS (SELECT *, (x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ()) AS xn,
+              (y - min(y) OVER ()) / (max(y) OVER () - min(y) OVER ()) AS yn FROM kd),
+ky AS (SELECT *, (max(yn) OVER () - yn) - xn AS yd FROM kn),
+kx AS (SELECT *, coalesce(lag(yd) OVER (ORDER BY x), yd) AS pv, coalesce(lead(yd) OVER (ORDER BY x), yd) AS nx,
+              lead(yd) OVER (ORDER BY x) AS next_yd FROM ky),
+km AS (SELECT *, yd >= pv AND yd >= nx AS is_max, yd <= pv AND yd <= nx AS is_min FROM kx),
+kr AS (SELECT *, max(CASE WHEN is_max THEN i END) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS last_max,
+              max(CASE WHEN is_min THEN i END) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS last_min FROM km),
+kt AS (SELECT i AS tmax_i, x AS knee_x, yd - 1.0 / (n - 1) AS tmx FROM km WHERE is_max),
+kh AS (SELECT kr.i, kt.knee_x FROM kr JOIN kt ON kt.tmax_i = kr.last_max
+       WHERE kr.xn < 1.0 AND kr.next_yd IS NOT NULL
+         AND kr.next_yd < CASE WHEN coalesce(kr.last_min, -1) >= kr.last_max THEN 0.0 ELSE kt.tmx END),
+knee AS (SELECT arg_min(knee_x, i) AS knee FROM kh)
+"""
+
+
+@query("knee", sql="WITH " + GIVEN_CTE + "," + KNEE_SQL + "SELECT knee FROM knee")
+def q_knee(spark, sf_dir):
+    """M5: Kneedle elbow of the inertia curve over k = 2..9."""
+    return clustering.knee(metrics_given(spark, sf_dir))
+
+
+@query("choose_k", sql="WITH " + GIVEN_CTE + "," + KNEE_SQL + """
+, best AS (SELECT arg_min(k, (-silhouette, k)) AS best_silhouette_k FROM metrics)
+SELECT CAST(knee AS BIGINT) AS elbow_k, CAST(best_silhouette_k AS BIGINT) AS best_silhouette_k,
+       CAST(round_even((knee + best_silhouette_k) / 2.0, 0) AS BIGINT) AS optimal_k
+FROM knee, best
+""")
+def q_choose_k(spark, sf_dir):
+    """M6: elbow, best silhouette and their half-even mean ('both')."""
+    return clustering.choose_k(metrics_given(spark, sf_dir), "both")
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    """M2: k-means (k = 10, seed 42) cluster of every embedding."""
+    _, pred = clustering.kmeans(emb(spark, sf_dir), "embedding", 10, seed=42)
+    return pred.select("vec_id", "cluster")
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    """M3: k-means inertia and exact silhouette for k = 2..9 (silhouette 0 at k = 2)."""
+    metrics, _ = clustering.k_sweep(emb(spark, sf_dir), "vec_id", "embedding", K_RANGE, seed=42)
+    return metrics
