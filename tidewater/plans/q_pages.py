@@ -1 +1,62 @@
-"""Queries (filled in below)."""
+"""Queries for page extraction (S3, S9, H1-H6) on the pages table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.plans.registry import query
+from tidewater.plans.q_text import s_clean
+from tidewater.sources import pages as P
+from tidewater.sources.tables import scan_table
+
+
+def parsed(spark, sf_dir):
+    return P.parse_pages(scan_table(spark, sf_dir, "pages"))
+
+
+@query("extract_title", sql=f"""
+SELECT page_id, {s_clean("replace(regexp_extract(html, '<h1[^>]*>([^<]*)', 1), '&amp;', '&')")} AS title FROM pages
+""")
+def q_extract_title(spark, sf_dir):
+    """H2: first text node of each page's <h1>, cleaned."""
+    return P.extract_title(parsed(spark, sf_dir))
+
+
+@query("extract_links")
+def q_extract_links(spark, sf_dir):
+    """H1: anchors in order, resolved against the page url."""
+    return P.extract_links(parsed(spark, sf_dir))
+
+
+@query("extract_body")
+def q_extract_body(spark, sf_dir):
+    """H3: direct text nodes of class-less <p>, cleaned and joined."""
+    return P.extract_body(parsed(spark, sf_dir))
+
+
+@query("assemble_articles")
+def q_assemble_articles(spark, sf_dir):
+    """H5 (+F1-F3): Article rows from pages, keyed by url."""
+    return P.assemble_articles(parsed(spark, sf_dir))
+
+
+@query("crawl_counts", sql="""
+SELECT 'default' AS site, count(*) AS pages, count(*) AS kept, 0::BIGINT AS paywalled FROM pages
+""")
+def q_crawl_counts(spark, sf_dir):
+    """H6: pages, kept and paywalled counts per site."""
+    return P.crawl_counts(parsed(spark, sf_dir))
+
+
+TEMPLATE = "https://news.example.com/search?q={keyword}&page={page}"
+
+
+@query("crawl_frontier", sql=f"""
+SELECT event_type AS keyword, page,
+       replace(replace('{TEMPLATE}', '{{keyword}}', event_type), '{{page}}', CAST(page AS VARCHAR)) AS url
+FROM (SELECT DISTINCT event_type FROM events), range(1, 11) t(page)
+""")
+def q_crawl_frontier(spark, sf_dir):
+    """Search URLs for every event type x pages 1..10."""
+    kw = scan_table(spark, sf_dir, "events").select(F.col("event_type").alias("keyword")).distinct()
+    return P.crawl_frontier(spark, TEMPLATE, kw, (1, 10)).select("keyword", F.col("page").cast("long"), "url")
