@@ -136,3 +136,140 @@ def q_k_sweep(spark, sf_dir):
     """M3: k-means inertia and exact silhouette for k = 2..9 (silhouette 0 at k = 2)."""
     metrics, _ = clustering.k_sweep(emb(spark, sf_dir), "vec_id", "embedding", K_RANGE, seed=42)
     return metrics
+
+
+# ------------------------------------------------------------------ scoring
+from tidewater.functions import text as T  # noqa: E402
+from tidewater.operators import scoring, similarity  # noqa: E402
+from tidewater.plans.q_text import s_strip  # noqa: E402
+from tidewater.plans.q_vectors import CENTROIDS_SQL  # noqa: E402
+from tidewater.plans.views import ARTICLES_SQL, articles  # noqa: E402
+
+
+@query("top_phrases", sql="""
+WITH t AS (SELECT doc_id, list_filter(string_split(lower(array_to_string(regexp_extract_all(text, '\\p{L}+'), ' ')), ' '),
+                                      lambda w: w <> '') AS w FROM documents),
+g AS (SELECT doc_id, unnest(list_concat(w, CASE WHEN len(w) >= 2 THEN
+        list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE []::VARCHAR[] END)) AS phrase FROM t),
+tf AS (SELECT doc_id, phrase, count(*) AS tf FROM g GROUP BY ALL),
+df AS (SELECT phrase, count(*) AS df FROM tf GROUP BY phrase),
+sc AS (SELECT tf.doc_id, tf.phrase, tf.tf * ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1) / (df.df + 1)) AS score
+       FROM tf JOIN df USING (phrase))
+SELECT doc_id, rank, phrase, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, phrase) AS rank FROM sc) WHERE rank <= 10
+""")
+def q_top_phrases(spark, sf_dir):
+    """Ten best 1-2 word phrases per document by TF-IDF."""
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", "text")
+    p = scoring.top_phrases(d, "doc_id", "text", 10)
+    return p.select("doc_id", "rank", "phrase", F.round("score", 6).alias("score"))
+
+
+def _sev_sql() -> str:
+    labs = ", ".join("'" + x + "'" for x in T.SEVERITY_LABELS)
+    h, m, d = (s_strip(f"coalesce({c}, '')") for c in ("headline", "main_risk", "description"))
+    txt = f"concat_ws(' | ', {h}, {m}, substr({d}, 1, 200))"
+    return f"""
+WITH a AS (SELECT _id, {txt} AS txt FROM ({ARTICLES_SQL}) WHERE coalesce(is_unique, false)),
+l AS (SELECT unnest([{labs}]) AS label, generate_subscripts([{labs}], 1) AS i),
+s AS (SELECT a._id, l.i, l.label,
+             len(list_intersect(list_distinct(regexp_extract_all(lower(a.txt), '\\p{{L}}+')),
+                                list_distinct(regexp_extract_all(lower(l.label), '\\p{{L}}+'))))
+             / len(list_distinct(regexp_extract_all(lower(l.label), '\\p{{L}}+'))) AS score
+      FROM a, l)
+SELECT _id, i AS severity_level, label AS severity_label, round(score, 6) AS confidence FROM (
+  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY score DESC, i) AS rn FROM s) WHERE rn = 1
+"""
+
+
+@query("classify_severity", sql=_sev_sql())
+def q_classify_severity(spark, sf_dir):
+    """M10 zero-shot (J9 + T19 + T20) with the word-overlap scorer over unique articles."""
+    r = scoring.classify_severity(articles(spark, sf_dir), "_id", "zero-shot")
+    return r.select("_id", F.col("severity_level").cast("long").alias("severity_level"), "severity_label",
+                    F.round("confidence", 6).alias("confidence"))
+
+
+@query("classify_severity_generative")
+def q_classify_severity_generative(spark, sf_dir):
+    """M10 generative path (prompt -> injected model -> level) over unique articles."""
+    return scoring.classify_severity(articles(spark, sf_dir), "_id", "gemini")
+
+
+@query("analyze_new_incident", sql=f"""
+WITH {CENTROIDS_SQL},
+d AS (SELECT c.label AS q_key, e.vec_id AS c_key, e.label AS category,
+             list_sum(list_transform(list_zip(c.centroid, e.embedding), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+             AS dist FROM c, embeddings e),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_key ORDER BY dist, c_key) AS rank FROM d)
+       WHERE rank <= 5),
+v AS (SELECT q_key, category, count(*) AS votes FROM nn GROUP BY ALL)
+SELECT q_key, arg_min(category, (-votes, category)) AS suggested_category FROM v GROUP BY q_key
+""")
+def q_analyze_new_incident(spark, sf_dir):
+    """M9: for each label centroid as a new incident, the majority label of its 5 nearest embeddings."""
+    e = scan_table(spark, sf_dir, "embeddings")
+    cent = similarity.centroids(e, "label", "embedding")
+    return scoring.analyze_new_incident(cent, "label", "centroid", e, "vec_id", "embedding", "label", k=5)
+
+
+def seed_catalogue(spark):
+    from tidewater.operators.upsert import seed_categories
+    return seed_categories(spark)
+
+
+@query("summarise")
+def q_summarise(spark, sf_dir):
+    """Every article through the extraction prompt and the (stand-in) model, parsed to fields."""
+    a = articles(spark, sf_dir).select("_id", "headline", "description")
+    return scoring.summarise(a)
+
+
+@query("classify_category")
+def q_classify_category(spark, sf_dir):
+    """Pending articles get a category from the model; main_risk and final_risk updated."""
+    a = articles(spark, sf_dir).select("_id", "main_risk", "is_unique", F.col("headline").alias("summary"))
+    return scoring.classify_category(a, seed_catalogue(spark)).select("_id", "main_risk", "final_risk")
+
+
+@query("discover_categories")
+def q_discover_categories(spark, sf_dir):
+    """M7: 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the model."""
+    a = articles(spark, sf_dir).select("_id", F.col("headline").alias("summary"), "main_risk") \
+        .withColumn("_id", F.col("_id").cast("long"))
+    cats, _ = scoring.discover_categories(a, "_id", "summary", seed_catalogue(spark), range(2, 10),
+                                          "silhouette", minimum_samples=20)
+    return cats.select("cluster", "size", "category", "description", "error")
+
+
+@query("lda_topics")
+def q_lda_topics(spark, sf_dir):
+    """5 topics x 10 words over all documents."""
+    return scoring.lda_topics(scan_table(spark, sf_dir, "documents"), "text", k=5, words=10)
+
+
+@query("encode")
+def q_encode(spark, sf_dir):
+    """M1: benchmark texts encoded with the injected (default: hashed trigram) encoder."""
+    b = scan_table(spark, sf_dir, "benchmark")
+    return scoring.encode(b, "text").select("item_id", "embedding")
+
+
+@query("prompt_grid")
+def q_prompt_grid(spark, sf_dir):
+    """Model x {raw, cleaned} x {short, role} prompts over every benchmark item, one inference pass."""
+    b = scan_table(spark, sf_dir, "benchmark").withColumn("cleaned", T.clean_text("text"))
+    prompts = {"short": "Classify the port risk: ", "role": "You are a maritime risk analyst. Classify: "}
+    models = {"stub_a": scoring.default_generator, "stub_b": lambda p: scoring.default_generator(p[::-1])}
+    g = scoring.prompt_grid(b, {"raw": "text", "cleaned": "cleaned"}, prompts, models)
+    return g.select("item_id", "model", "text_variant", "prompt_style",
+                    T.first_label(F.col("response")).alias("label"), "response")
+
+
+@query("dedup_word2vec")
+def q_dedup_word2vec(spark, sf_dir):
+    """Word2Vec (100 dims, window 5) fitted on all documents; greedy dedup on document vectors."""
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scoring.dedup_word2vec(d, "doc_id", "text", 0.9).select("doc_id")
+
+
