@@ -146,4 +146,4 @@ def write_numbered_text(df: DataFrame, path: str, text: str, order: Sequence[str
     """K9: write the numbered records as text, in order (range-partitioned by n, no single task)."""
     lines = numbered_lines(df, text, order, with_id)
     lines.repartitionByRange("n").sortWithinPartitions("n").select("line") \
-        .write.mode("overwrite").option("lineSep", "").text(path)
+        .write.mode("overwrite").text(path)

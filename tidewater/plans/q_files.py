@@ -1 +1,84 @@
-"""Queries (filled in below)."""
+"""Round-trip queries for record-file sources and sinks.
+
+Each query writes a text/CSV export derived from the given tables into the
+shared scratch folder (under spark.checkpoint.dir) and reads it back with the
+source operator, so the result is comparable with SQL over the same tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import upsert
+from tidewater.plans.registry import query
+from tidewater.session import scratch_path
+from tidewater.sources import records
+from tidewater.sources.tables import scan_table
+
+BLOCK_SQL_PORT = """
+SELECT CAST(doc_id AS VARCHAR) AS _id, 'event ' || CAST(doc_id AS VARCHAR) AS event, source AS port_affected,
+       lang AS date FROM documents
+"""
+
+
+@query("scan_id_blocks", sql=BLOCK_SQL_PORT)
+def q_scan_id_blocks(spark, sf_dir):
+    """Documents exported as 'id:' blocks (several files), read back and parsed."""
+    d = scan_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "id-blocks")
+    blocks = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nDisruption event: event "),
+                               F.col("doc_id").cast("string"), F.lit("\nPort Affected: "), F.col("source"),
+                               F.lit("\nDate: "), F.col("lang"), F.lit("\n\n")).alias("value"))
+    blocks.repartition(4).write.mode("overwrite").text(path)
+    return records.scan_id_blocks(spark, path).select("_id", "event", "port_affected", "date")
+
+
+@query("scan_blank_line_records", sql="""
+SELECT CAST(doc_id AS VARCHAR) AS id, source AS port, lang AS date FROM documents
+""")
+def q_scan_blank_line_records(spark, sf_dir):
+    """S4 + T10: documents exported as blank-line separated 'Key: value' records, read back by folder."""
+    d = scan_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "records")
+    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nPort Affected: "),
+                             F.col("source"), F.lit("\nDate: "), F.col("lang")).alias("value"))
+    recs.repartition(3).write.mode("overwrite").option("lineSep", "\n\n").text(path)
+    r = records.scan_blank_line_records(spark, path).where(F.size("kv") > 0)
+    return r.select(F.col("kv")["id"].alias("id"), F.col("kv")["Port Affected"].alias("port"),
+                    F.col("kv")["Date"].alias("date"))
+
+
+@query("scan_numbered_lines", sql="""
+SELECT row_number() OVER (ORDER BY doc_id) AS n, split_part(text, chr(10), 1) AS text, '' AS label FROM documents
+""")
+def q_scan_numbered_lines(spark, sf_dir):
+    """K9 + S7: headlines written as numbered records, read back as (n, text, label)."""
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("h"))
+    path = scratch_path(spark, "numbered")
+    upsert.write_numbered_text(d, path, "h", ["doc_id"])
+    return records.scan_numbered_lines(spark, path).select(F.col("n").cast("long").alias("n"), "text", "label")
+
+
+@query("scan_word_vectors", sql="""
+SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, list_transform(embedding, lambda x: round(x, 4)) AS vector
+FROM embeddings
+""")
+def q_scan_word_vectors(spark, sf_dir):
+    """Embeddings exported as 'token f1 ... fn' lines and parsed back."""
+    e = scan_table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "vectors")
+    lines = e.select(F.concat_ws(" ", F.concat(F.lit("w"), F.col("vec_id").cast("string")),
+                                 F.array_join(F.transform("embedding", lambda x: x.cast("string")), " ")).alias("v"))
+    lines.write.mode("overwrite").text(path)
+    v = records.scan_word_vectors(spark, path)
+    return v.select("token", F.transform("vector", lambda x: F.round(x.cast("double"), 4)).alias("vector"))
+
+
+@query("scan_sheet", sql="SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
+def q_scan_sheet(spark, sf_dir):
+    """K8 + S8: orders exported as a header CSV with an index column, read back without the index."""
+    o = scan_table(spark, sf_dir, "orders").select(F.monotonically_increasing_id().alias("idx"),
+                                                   "o_orderkey", "o_orderpriority")
+    path = scratch_path(spark, "sheet")
+    upsert.export_table(o, path, "csv")
+    return records.scan_sheet(spark, path, index_col=True)

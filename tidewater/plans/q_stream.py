@@ -1 +1,62 @@
-"""Queries (filled in below)."""
+"""Streaming queries (ST1, ST2): file streams drained with availableNow, state read back."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from tidewater.plans.registry import query
+from tidewater.plans.q_vectors import EMB_EDGES, greedy_sql
+from tidewater.session import scratch_path
+from tidewater.sources.tables import scan_table
+from tidewater.streaming import keyed
+
+
+def _split_files(df, path: str, col: str, parts: int):
+    """Write ``df`` as ``parts`` files in ascending ranges of ``col`` (one job per range, in order)."""
+    bounds = df.agg(F.min(col), F.max(col)).first()
+    lo, hi = bounds[0], bounds[1]
+    step = (hi - lo) / parts
+    for i in range(parts):
+        a = lo + step * i
+        cond = (F.col(col) >= a) if i == 0 else (F.col(col) > a)
+        if i < parts - 1:
+            cond = cond & (F.col(col) <= lo + step * (i + 1))
+        df.where(cond).coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"part{i:03d}"))
+
+
+@query("stream_upsert", sql="""
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
+""")
+def q_stream_upsert(spark, sf_dir):
+    """ST1: events arrive as 4 files (one micro-batch each) and are upserted by user_id."""
+    e = scan_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "stream-upsert")
+    src = os.path.join(base, "src")
+    _split_files(e.withColumn("_e", F.col("event_id")), src, "_e", 4)
+    schema = spark.read.parquet(os.path.join(src, "part000")).schema
+    q = keyed.stream_upsert(spark, os.path.join(src, "*"), schema,
+                            os.path.join(base, "state"), os.path.join(base, "ckpt"), "user_id", ["ts", "event_id"],
+                            max_files_per_trigger=1)
+    keyed.run_to_end(q)
+    return keyed.latest_state(spark, os.path.join(base, "state")).drop("_e")
+
+
+@query("stream_dedup", sql=greedy_sql(EMB_EDGES, "SELECT vec_id AS id FROM embeddings") + """
+SELECT vec_id, list_contains((SELECT kept FROM g WHERE rn = (SELECT count(*) FROM embeddings)), vec_id) AS is_unique
+FROM embeddings
+""")
+def q_stream_dedup(spark, sf_dir):
+    """ST2: embeddings arrive in 4 vec_id-ordered files; each batch is checked against kept rows."""
+    e = scan_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    base = scratch_path(spark, "stream-dedup")
+    src = os.path.join(base, "src")
+    _split_files(e, src, "vec_id", 4)
+    schema = spark.read.parquet(os.path.join(src, "part000")).schema
+    q = keyed.stream_dedup(spark, os.path.join(src, "*"), schema, os.path.join(base, "state"),
+                           os.path.join(base, "ckpt"), "vec_id", "embedding", 0.4, order="vec_id",
+                           max_files_per_trigger=1)
+    keyed.run_to_end(q)
+    return keyed.latest_state(spark, os.path.join(base, "state")).select("vec_id", "is_unique")
