@@ -41,6 +41,7 @@ def main() -> None:
         t0 = time.time()
         reg[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     print(json.dumps({"metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))

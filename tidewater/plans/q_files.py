@@ -82,3 +82,48 @@ def q_scan_sheet(spark, sf_dir):
     path = scratch_path(spark, "sheet")
     upsert.export_table(o, path, "csv")
     return records.scan_sheet(spark, path, index_col=True)
+
+
+def _section_sql() -> str:
+    from tidewater.plans.q_text import WS, s_strip
+    sec = ("'Disruption event: ' || split_part(text, chr(10), 1) || chr(10) || 'Port Affected: ' || source || "
+           "chr(10) || 'Date: ' || lang || CASE WHEN n_chars % 2 = 0 THEN chr(10) || "
+           "'Final Classification: **Port Closure**' ELSE '' END || chr(10) || chr(10)")
+    ev = f"Disruption event:{WS}*(.*)\\n"
+    fc = f"Final Classification:{WS}*\\*\\*(.*)\\*\\*"
+    return f"""
+SELECT CASE WHEN regexp_matches(sec, '{ev}') THEN {s_strip(f"regexp_extract(sec, '{ev}', 1)")} END AS disruption_event,
+       {s_strip(f"regexp_extract(sec, 'Port Affected:{WS}*(.*)', 1)")} AS port_affected,
+       {s_strip(f"regexp_extract(sec, 'Date:{WS}*(.*)', 1)")} AS date,
+       CASE WHEN regexp_matches(sec, '{fc}') THEN {s_strip(f"regexp_extract(sec, '{fc}', 1)")} END
+         AS final_classification
+FROM (SELECT {sec} AS sec FROM documents)
+"""
+
+
+def _with_header(it):
+    """Start every output file (partition) with a header line, as the saved answer files do."""
+    import pandas as pd
+    first = True
+    for pdf in it:
+        if first:
+            yield pd.DataFrame({"line": ["Answers\n"]})
+            first = False
+        yield pdf[["line"]]
+
+
+@query("scan_numbered_sections", sql=_section_sql())
+def q_scan_numbered_sections(spark, sf_dir):
+    """S6 + T13: documents exported as numbered answer sections (several files), read back."""
+    from tidewater.operators.upsert import numbered_lines
+    d = scan_table(spark, sf_dir, "documents")
+    body = F.concat(F.lit("Disruption event: "), F.substring_index("text", "\n", 1), F.lit("\nPort Affected: "),
+                    F.col("source"), F.lit("\nDate: "), F.col("lang"),
+                    F.when(F.col("n_chars") % 2 == 0, F.lit("\nFinal Classification: **Port Closure**"))
+                    .otherwise(F.lit("")))
+    lines = numbered_lines(d.select("doc_id", body.alias("b")), "b", ["doc_id"])
+    path = scratch_path(spark, "sections")
+    lines.repartitionByRange(3, "n").sortWithinPartitions("n").mapInPandas(_with_header, "line string") \
+        .write.mode("overwrite").text(path)
+    return records.scan_numbered_sections(spark, path).select(
+        "disruption_event", "port_affected", "date", "final_classification")

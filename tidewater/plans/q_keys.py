@@ -187,3 +187,49 @@ def q_append_rows(spark, sf_dir):
         F.col("item_id").cast("string").alias("_id"), F.substring_index("text", ".", 1).alias("headline"),
         F.lit(None).cast("string").alias("link"))
     return upsert.append_rows(None, b, ARTICLE_FIELDS)
+
+
+# ------------------------------------------------------------------ S1, F8, J8, A10, D5, D6, T7, T18
+from tidewater.operators import filters, report  # noqa: E402
+
+
+@query("scan_table", sql="SELECT * FROM orders")
+def q_scan_table(spark, sf_dir):
+    """A whole collection as a table."""
+    return scan_table(spark, sf_dir, "orders")
+
+
+@query("others_with_minimum", sql=f"SELECT _id, headline FROM ({ARTICLES_SQL}) WHERE main_risk = 'Others'")
+def q_others_with_minimum(spark, sf_dir):
+    """F8: 'Others' articles, guarded by a minimum count (50 here; the reference's default is 500)."""
+    return filters.others_with_minimum(articles(spark, sf_dir), minimum=50).select("_id", "headline")
+
+
+@query("name_clusters", sql=BULK_SQL + """
+SELECT asg._id, asg.cluster, nm.name FROM asg LEFT JOIN nm USING (cluster)
+""")
+def q_name_clusters(spark, sf_dir):
+    """Cluster id -> category name for every 'Others' article (joined by id, not position)."""
+    a = articles(spark, sf_dir).select("_id", "main_risk", "state")
+    asg = _others_assignment(a)
+    names = asg.select("cluster").distinct().select(
+        "cluster", F.concat(F.lit("Risk group "), F.col("cluster").cast("string")).alias("name"))
+    return joins.name_clusters(asg, names).select("_id", "cluster", "name")
+
+
+@query("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    """A10: 100 documents without replacement, repeatable (seed 42), independent of partitioning."""
+    return report.sample_rows(scan_table(spark, sf_dir, "documents").select("doc_id", "source"), 100, 42, "doc_id")
+
+
+@query("dedup_by_url", sql="""
+SELECT u AS url, page_id FROM (
+  SELECT regexp_replace(url, '[?#].*$', '') AS u, page_id,
+         row_number() OVER (PARTITION BY regexp_replace(url, '[?#].*$', '') ORDER BY page_id DESC) AS rn
+  FROM pages) WHERE rn = 1
+""")
+def q_dedup_by_url(spark, sf_dir):
+    """Pages stored once per url (query and fragment dropped), the latest page wins."""
+    p = scan_table(spark, sf_dir, "pages").select(F.regexp_replace("url", r"[?#].*$", "").alias("url"), "page_id")
+    return upsert.latest_per_key(p, "url", ["page_id"])

@@ -443,3 +443,23 @@ def q_drop_incomplete(spark, sf_dir):
     """records lacking a declared key are dropped."""
     e = scan_table(spark, sf_dir, "events").select("event_id", "user_id", "props")
     return filters.drop_incomplete(e, ["event_id", "user_id", "props"])
+
+
+# ---------------------------------------------------------------- T7 / T18
+from tidewater.operators.text_ops import preprocess_article  # noqa: E402
+
+
+def s_drop_stop(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_filter({s_split_words(x)}, "
+            f"lambda w: NOT list_contains({s_list(STOP)}, lower(w))), ' ') END")
+
+
+@query("preprocess_article", sql=f"""
+SELECT _id, {s_drop_stop(s_trim_boilerplate('link', 'description', T.GCAPTAIN_MARKERS))} AS description,
+       {s_drop_stop('headline')} AS headline
+FROM ({ARTICLES_SQL})
+""")
+def q_preprocess_article(spark, sf_dir):
+    """Boilerplate trim + stop words on the description, stop words on the headline."""
+    a = articles(spark, sf_dir).select("_id", "link", "description", "headline")
+    return preprocess_article(a, "_id", STOP, None).select("_id", "description", "headline")
