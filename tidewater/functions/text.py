@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 PY_SPACE = (r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 PY_WS = f"[{PY_SPACE}]"
+# The same set for Java regexes, built on Character.isWhitespace (one predicate instead of many
+# ranges): Java's whitespace plus the four characters Python adds (NEL and the no-break spaces).
+J_SPACE = r"\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}"
+J_WS = f"[{J_SPACE}]"
+# The same characters as a plain string (for btrim / translate, which need no regex).
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                  + "\u2028\u2029\u202f\u205f\u3000")
 # Python's \w for str patterns: letters, digits/numbers, underscore.
 PY_NON_WORD = r"[^\p{L}\p{N}_]"
 
@@ -74,15 +81,16 @@ def _c(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), f"^{PY_WS}+|{PY_WS}+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace (character trim, no regex)."""
+    return F.btrim(_c(c), F.lit(PY_SPACE_CHARS))
 
 
 def clean_text(c) -> Column:
     """Non-ASCII runs -> space; CR/LF/TAB runs -> space; whitespace runs -> one space; trim."""
     x = F.regexp_replace(_c(c), r"[^\x{00}-\x{7F}]+", " ")
     x = F.regexp_replace(x, r"[\r\n\t]+", " ")
-    x = F.regexp_replace(x, f"{PY_WS}+", " ")
+    # only ASCII is left, so Python's \s is the ASCII whitespace set here
+    x = F.regexp_replace(x, r"[\x{09}-\x{0D}\x{1C}-\x{20}]+", " ")
     return F.trim(x)
 
 
@@ -117,15 +125,19 @@ def trim_boilerplate_v1(link, description) -> Column:
 
 
 def split_words(c) -> Column:
-    """Python ``str.split()``: whitespace runs, no empty tokens."""
+    """Python ``str.split()``: whitespace runs, no empty tokens.
+
+    The class is Java's whitespace predicate plus the characters Python adds.
+    """
     s = py_strip(_c(c))
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, f"{PY_WS}+"))
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, f"{J_WS}+"))
 
 
 def drop_stop_words(c, stop_words: Sequence[str]) -> Column:
     """T4 on a token array: drop tokens whose lower case is a stop word, keep the case of the rest."""
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
-    return F.filter(_c(c), lambda w: ~F.array_contains(stop, F.lower(w)))
+    stop = sorted(set(stop_words))
+    # IN over a literal list becomes a hash-set lookup (InSet) in the optimizer
+    return F.filter(_c(c), lambda w: ~F.lower(w).isin(stop)) if stop else _c(c)
 
 
 def drop_stop_words_text(c, stop_words: Sequence[str]) -> Column:
@@ -218,11 +230,11 @@ def extract_block_fields(block) -> list[Column]:
     (?d) makes '.' and '$' treat only '\\n' as a line end, as Python does.
     """
     b = _c(block)
-    ev = f"(?sd)Disruption event:{PY_WS}*(.*?)(?=Port Affected:|$)"
-    port = f"(?sd)Port Affected:{PY_WS}*(.*?)(?=Date:|$)"
-    date = f"(?d)Date:{PY_WS}*(.*)"
+    ev = f"(?sd)Disruption event:{J_WS}*(.*?)(?=Port Affected:|$)"
+    port = f"(?sd)Port Affected:{J_WS}*(.*?)(?=Date:|$)"
+    date = f"(?d)Date:{J_WS}*(.*)"
     return [
-        py_strip(_group1_or_null(b, f"([^{PY_SPACE}]+)")).alias("_id"),
+        py_strip(_group1_or_null(b, f"([^{J_SPACE}]+)")).alias("_id"),
         py_strip(_group1_or_null(b, ev)).alias("event"),
         py_strip(_group1_or_null(b, port)).alias("port_affected"),
         py_strip(_group1_or_null(b, date)).alias("date"),
@@ -232,7 +244,7 @@ def extract_block_fields(block) -> list[Column]:
 def block_is_complete(block) -> Column:
     """all four block patterns match."""
     b = _c(block)
-    return (b.rlike(f"[^{PY_SPACE}]") & b.contains("Disruption event:") & b.contains("Port Affected:")
+    return (b.rlike(f"[^{J_SPACE}]") & b.contains("Disruption event:") & b.contains("Port Affected:")
             & b.contains("Date:"))
 
 
@@ -240,10 +252,10 @@ def extract_section_fields(section) -> list[Column]:
     """Event (needs a newline after it), port, date, final classification; null if absent."""
     s = _c(section)
     return [
-        py_strip(_group1_or_null(s, f"(?d)Disruption event:{PY_WS}*(.*)\n")).alias("disruption_event"),
-        py_strip(_group1_or_null(s, f"(?d)Port Affected:{PY_WS}*(.*)")).alias("port_affected"),
-        py_strip(_group1_or_null(s, f"(?d)Date:{PY_WS}*(.*)")).alias("date"),
-        py_strip(_group1_or_null(s, f"(?d)Final Classification:{PY_WS}*\\*\\*(.*)\\*\\*")).alias("final_classification"),
+        py_strip(_group1_or_null(s, f"(?d)Disruption event:{J_WS}*(.*)\n")).alias("disruption_event"),
+        py_strip(_group1_or_null(s, f"(?d)Port Affected:{J_WS}*(.*)")).alias("port_affected"),
+        py_strip(_group1_or_null(s, f"(?d)Date:{J_WS}*(.*)")).alias("date"),
+        py_strip(_group1_or_null(s, f"(?d)Final Classification:{J_WS}*\\*\\*(.*)\\*\\*")).alias("final_classification"),
     ]
 
 
@@ -264,7 +276,7 @@ def first_label(c, labels: Sequence[str] = PORT_LABELS) -> Column:
 def normalise_category(c) -> Column:
     """First line of the stripped text, keeping only letters, digits, whitespace and ':'."""
     first = F.substring_index(py_strip(_c(c)), "\n", 1)
-    return F.regexp_replace(first, f"[^A-Za-z0-9{PY_SPACE}:]", "")
+    return F.regexp_replace(first, f"[^A-Za-z0-9{J_SPACE}:]", "")
 
 
 def split_name_description(c) -> list[Column]:
@@ -311,7 +323,7 @@ def char_trigrams(c) -> Column:
     return F.regexp_extract_all(trigram_text(c), F.lit("(?=(.{3}))"), 1)
 
 
-WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + PY_SPACE + "]"
+WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + PY_SPACE + "]"  # shared with the RE2 oracle
 
 
 def tokenize(c) -> Column:

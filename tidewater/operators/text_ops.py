@@ -4,35 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
+from tidewater.session import checked_broadcast_rows
 
 
-def lemmatize(df: DataFrame, key: str, tokens: str, lexicon: DataFrame, out: str = "lemmas") -> DataFrame:
-    """T5 with a lexicon table (surface, lemma) of any size.
+def lemma_table(tokens: DataFrame, lexicon: DataFrame, tok: str = "tok") -> DataFrame:
+    """(tok, lemma) for every distinct token whose lemma differs from the token.
 
-    Each token occurrence is exploded with its position and its candidate
-    forms (the word and its suffix-rule stems); candidates are joined to the
-    lexicon (AQE broadcasts it when it is small, else a shuffle join); the
-    shortest known lemma wins, unknown words stay; tokens are reassembled in
-    order per row. Rows whose token array is empty or null keep it.
+    Works on the vocabulary, not on occurrences: each distinct token's candidate
+    forms (the word and its suffix-rule stems) are joined to the lexicon and the
+    shortest known lemma wins (earlier candidate on ties).
     """
-    occ = df.select(key, F.posexplode(tokens).alias("pos", "tok"))
-    cand = occ.select(key, "pos", "tok", F.posexplode(T.lemma_candidates(F.col("tok"))).alias("ci", "form")) \
+    vocab = tokens.select(F.col(tok)).where(F.col(tok).isNotNull()).distinct()
+    cand = vocab.select(tok, F.posexplode(T.lemma_candidates(F.col(tok))).alias("ci", "form")) \
         .where(F.col("form").isNotNull())
     lex = lexicon.select(F.col("surface").alias("form"), F.col("lemma"))
-    hit = cand.join(lex, "form", "left")
-    best = hit.groupBy(key, "pos", "tok").agg(
-        # shortest known lemma, earlier candidate on ties; rows without a lemma are ignored
-        F.min_by("lemma", F.when(F.col("lemma").isNotNull(), F.struct(F.length("lemma"), F.col("ci"))))
-        .alias("lemma"))
-    per_tok = best.select(key, "pos", F.coalesce("lemma", "tok").alias("w"))
+    hit = cand.join(lex, "form")
+    best = hit.groupBy(tok).agg(F.min_by("lemma", F.struct(F.length("lemma"), F.col("ci"))).alias("lemma"))
+    return best.where(F.col("lemma") != F.col(tok))
+
+
+def lemmatize(df: DataFrame, key: str, tokens: str, lexicon: DataFrame, out: str = "lemmas",
+              max_map_rows: int = 2_000_000) -> DataFrame:
+    """T5 with a lexicon table (surface, lemma) of any size; unknown words stay unchanged.
+
+    The lemma of a token depends on the token only, so it is computed once per
+    distinct token (``lemma_table``). When the table of changing tokens is within
+    ``max_map_rows`` (checked) it is shipped to the tasks as a broadcast dict and
+    applied per Arrow batch; otherwise occurrences are exploded with their
+    position, joined to the table and reassembled in order per row.
+    """
+    occ_tokens = df.select(F.explode(tokens).alias("tok"))
+    table = lemma_table(occ_tokens, lexicon).persist()
+    n = checked_broadcast_rows(table, max_map_rows)
+    if n is not None:
+        mapping = {r["tok"]: r["lemma"] for r in table.toLocalIterator()}
+        bmap = df.sparkSession.sparkContext.broadcast(mapping)
+
+        @F.pandas_udf("array<string>")
+        def apply_map(col: pd.Series) -> pd.Series:
+            m = bmap.value
+            return pd.Series([None if v is None else [m.get(w, w) for w in v] for v in col])
+
+        return df.withColumn(out, apply_map(F.col(tokens)))
+    occ = df.select(key, F.posexplode(tokens).alias("pos", "tok"))
+    per_tok = occ.join(table, "tok", "left").select(key, "pos", F.coalesce("lemma", "tok").alias("w"))
     rebuilt = per_tok.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda s: s["w"]).alias(out))
-    return df.join(rebuilt, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.col(tokens)))
+    return df.join(rebuilt, key, "left").withColumn(out, F.coalesce(F.col(out), F.col(tokens)))
 
 
 def lexicon_from_words(words: DataFrame, col: str = "word") -> DataFrame:

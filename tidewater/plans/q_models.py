@@ -273,3 +273,42 @@ def q_dedup_word2vec(spark, sf_dir):
     return scoring.dedup_word2vec(d, "doc_id", "text", 0.9).select("doc_id")
 
 
+
+
+# ------------------------------------------------------------------ T18 render_prompt, D5 flag_deduplicated
+from tidewater.operators import dedup  # noqa: E402
+from tidewater.plans.q_vectors import EMB_EDGES, greedy_sql  # noqa: E402
+from tidewater.schemas import SEED_CATEGORIES  # noqa: E402
+
+
+def _seed_catalogue_text() -> str:
+    return "\n".join(sorted(f"\t- {c}: {d}" for _, c, d in SEED_CATEGORIES))
+
+
+@query("render_prompt", sql=f"""
+SELECT _id, 'Given the following text:' || chr(10) || headline || chr(10) || chr(10) ||
+       'These are the maritime risk categories and their descriptions:' || chr(10) ||
+       '{_seed_catalogue_text().replace(chr(9), "' || chr(9) || '").replace(chr(10), "' || chr(10) || '")}' ||
+       chr(10) || 'Reply with the final risk classification only.' AS prompt
+FROM ({ARTICLES_SQL}) WHERE main_risk = '' AND coalesce(is_unique, false)
+""")
+def q_render_prompt(spark, sf_dir):
+    """Classification prompts for every pending article, catalogue rendered as sorted bullets."""
+    a = articles(spark, sf_dir)
+    from tidewater.operators import filters as _f
+    p = _f.pending_category(a).select(
+        "_id", scoring.category_prompt(F.col("headline"), scoring.catalogue_literal(seed_catalogue(spark)))
+        .alias("prompt"))
+    return p
+
+
+@query("flag_deduplicated", sql=greedy_sql(EMB_EDGES, "SELECT vec_id AS id FROM embeddings") + """
+SELECT vec_id, CASE WHEN list_contains((SELECT kept FROM g WHERE rn = (SELECT count(*) FROM embeddings)), vec_id)
+                    THEN true END AS is_deduplicated
+FROM embeddings
+""")
+def q_flag_deduplicated(spark, sf_dir):
+    """Rows kept by the greedy dedup get is_deduplicated = true in the source table."""
+    e = emb(spark, sf_dir)
+    kept = dedup.dedup_greedy(e, "vec_id", "embedding", 0.4, order="vec_id")
+    return dedup.flag_deduplicated(e.select("vec_id"), kept.select("vec_id"), key="vec_id")
