@@ -11,20 +11,16 @@ ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_parti
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
-                    salt_key: str, salt_buckets: int = 64, rank_col: str = "rank") -> DataFrame:
+                    salt_key: str | None = None, rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..n per group by ``order`` (which must be a total order).
 
-    Two stages: rank within (group, hash(salt_key) mod salt_buckets) and keep
-    n, then rank the at most ``salt_buckets * n`` survivors per group. A group
-    holding a third of the table is thus ranked by many tasks, not one.
+    ``row_number() <= n`` lets the optimizer plan a partial WindowGroupLimit
+    before the shuffle (visible in ``explain``): every map task forwards at most
+    n rows per group, so a group holding a third of the table never reaches one
+    task whole. ``salt_key`` is accepted for callers of the earlier two-stage form.
     """
-    keys = list(keys)
-    salt = F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
-              .where(F.col("_r1") <= n).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return stage1.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= n)
+    w = Window.partitionBy(*list(keys)).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "ordinal",

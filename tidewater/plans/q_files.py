@@ -101,17 +101,6 @@ FROM (SELECT {sec} AS sec FROM documents)
 """
 
 
-def _with_header(it):
-    """Start every output file (partition) with a header line, as the saved answer files do."""
-    import pandas as pd
-    first = True
-    for pdf in it:
-        if first:
-            yield pd.DataFrame({"line": ["Answers\n"]})
-            first = False
-        yield pdf[["line"]]
-
-
 @query("scan_numbered_sections", sql=_section_sql())
 def q_scan_numbered_sections(spark, sf_dir):
     """S6 + T13: documents exported as numbered answer sections (several files), read back."""
@@ -123,7 +112,7 @@ def q_scan_numbered_sections(spark, sf_dir):
                     .otherwise(F.lit("")))
     lines = numbered_lines(d.select("doc_id", body.alias("b")), "b", ["doc_id"])
     path = scratch_path(spark, "sections")
-    lines.repartitionByRange(3, "n").sortWithinPartitions("n").mapInPandas(_with_header, "line string") \
-        .write.mode("overwrite").text(path)
+    records.write_text_with_header(lines.repartitionByRange(3, "n").sortWithinPartitions("n").select("line"),
+                                   path, "Answers\n")
     return records.scan_numbered_sections(spark, path).select(
         "disruption_event", "port_affected", "date", "final_classification")

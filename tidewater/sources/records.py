@@ -65,3 +65,22 @@ def scan_word_vectors(spark: SparkSession, path: str) -> DataFrame:
     d = spark.read.text(path).select(F.split(F.col("value"), " ").alias("p"))
     return d.select(F.col("p")[0].alias("token"),
                     F.transform(F.slice("p", 2, F.size("p") - 1), lambda x: x.cast("float")).alias("vector"))
+
+
+def write_text_with_header(lines: DataFrame, path: str, header: str) -> None:
+    """Write a one-column text frame so that every output file starts with ``header``.
+
+    Saved answer files start with a preamble; writers that split output over
+    many files repeat it per file (per partition), so readers that drop the
+    first piece of a file stay correct.
+    """
+    def prepend(it):
+        import pandas as pd
+        first = True
+        for pdf in it:
+            if first:
+                yield pd.DataFrame({"line": [header]})
+                first = False
+            yield pdf[["line"]]
+
+    lines.toDF("line").mapInPandas(prepend, "line string").write.mode("overwrite").text(path)
