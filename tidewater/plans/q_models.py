@@ -162,7 +162,7 @@ def q_top_phrases(spark, sf_dir):
     """Ten best 1-2 word phrases per document by TF-IDF."""
     d = scan_table(spark, sf_dir, "documents").select("doc_id", "text")
     p = scoring.top_phrases(d, "doc_id", "text", 10)
-    return p.select("doc_id", "rank", "phrase", F.round("score", 6).alias("score"))
+    return p.select("doc_id", F.col("rank").cast("long"), "phrase", F.round("score", 6).alias("score"))
 
 
 def _sev_sql() -> str:
@@ -204,7 +204,8 @@ d AS (SELECT c.label AS q_key, e.vec_id AS c_key, e.label AS category,
 nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_key ORDER BY dist, c_key) AS rank FROM d)
        WHERE rank <= 5),
 v AS (SELECT q_key, category, count(*) AS votes FROM nn GROUP BY ALL)
-SELECT q_key, arg_min(category, (-votes, category)) AS suggested_category FROM v GROUP BY q_key
+SELECT CAST(q_key AS BIGINT) AS q_key, arg_min(category, (-votes, category)) AS suggested_category
+FROM v GROUP BY q_key
 """)
 def q_analyze_new_incident(spark, sf_dir):
     """M9: for each label centroid as a new incident, the majority label of its 5 nearest embeddings."""

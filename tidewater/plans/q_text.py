@@ -208,7 +208,7 @@ def q_parse_key_values(spark, sf_dir):
     """T10 + T11: 'Key: value' answer -> map (last duplicate wins) -> projected fields."""
     d = docs(spark, sf_dir).select("doc_id", T.key_value_entries(kv_spark()).alias("ents"))
     d = d.select("doc_id", T.last_wins_map("ents").alias("m"))
-    return d.select("doc_id", *T.project_extraction(F.col("m")), F.size("m").alias("n_keys"))
+    return d.select("doc_id", *T.project_extraction(F.col("m")), F.size("m").cast("long").alias("n_keys"))
 
 
 # ---------------------------------------------------------------- T12 / F10
@@ -379,7 +379,8 @@ FROM (SELECT doc_id, {s_trigrams('s')} AS g FROM (SELECT doc_id, {s_trigram_text
 def q_char_trigrams(spark, sf_dir):
     """T21 over whole texts."""
     g = docs(spark, sf_dir).select("doc_id", T.char_trigrams("text").alias("g"))
-    return g.select("doc_id", F.size("g").alias("n_trigrams"), F.size(F.array_distinct("g")).alias("n_distinct"),
+    return g.select("doc_id", F.size("g").cast("long").alias("n_trigrams"),
+                    F.size(F.array_distinct("g")).cast("long").alias("n_distinct"),
                     F.array_join("g", "|").alias("trigrams"))
 
 
@@ -391,7 +392,7 @@ FROM (SELECT doc_id, text, regexp_extract_all(lower(text), '{T.WORD_OR_PUNCT}')
 def q_tokenize(spark, sf_dir):
     """word/punctuation tokens (lower-cased) and the alphabetic-only variant."""
     d = docs(spark, sf_dir).select("doc_id", "text", T.tokenize("text").alias("t"))
-    return d.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"),
+    return d.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", " ").alias("tokens"),
                     F.array_join(T.alpha_tokens("text"), " ").alias("alpha"))
 
 
@@ -405,7 +406,7 @@ def q_word_ngrams(spark, sf_dir):
     """1- and 2-word phrases over alphabetic tokens."""
     t = docs(spark, sf_dir).select("doc_id", T.alpha_tokens("text").alias("t"))
     g = t.select("doc_id", T.word_ngrams(F.col("t"), 2).alias("g"))
-    return g.select("doc_id", F.size("g").alias("n_grams"), F.array_join("g", "|").alias("grams"))
+    return g.select("doc_id", F.size("g").cast("long").alias("n_grams"), F.array_join("g", "|").alias("grams"))
 
 
 # ---------------------------------------------------------------- F2 / F4 / F9

@@ -42,7 +42,7 @@ c AS (SELECT label, list(m ORDER BY idx) AS centroid FROM (
 
 @query("nearest", sql=f"""
 WITH {CENTROIDS_SQL},
-d AS (SELECT c.label AS q_key, e.vec_id AS c_key,
+d AS (SELECT CAST(c.label AS BIGINT) AS q_key, e.vec_id AS c_key,
              list_sum(list_transform(list_zip(c.centroid, e.embedding), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
              AS dist FROM c, embeddings e)
 SELECT q_key, c_key, round(dist, 4) AS distance, rank FROM (
@@ -53,7 +53,7 @@ def q_nearest(spark, sf_dir):
     e = emb(spark, sf_dir)
     cent = similarity.centroids(e, "label", "embedding")
     nn = similarity.nearest(cent, "label", "centroid", e, "vec_id", "embedding", k=5)
-    return nn.select("q_key", "c_key", F.round("distance", 4).alias("distance"), "rank")
+    return nn.select("q_key", "c_key", F.round("distance", 4).alias("distance"), F.col("rank").cast("long"))
 
 
 # ------------------------------------------------------------------ J4 / A1 word vectors
