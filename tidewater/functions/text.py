@@ -343,7 +343,12 @@ def word_ngrams(tokens, n_max: int = 2) -> Column:
     """
     t = _c(tokens)
     out = t
-    for n in range(2, n_max + 1):
+    if n_max >= 2:  # bigrams as one zip of the array with itself shifted by one
+        pairs = F.zip_with(F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))),
+                           F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
+        out = F.concat(out, F.when(F.size(t) >= 2, pairs).otherwise(F.array().cast("array<string>")))
+    for n in range(3, n_max + 1):
         grams = F.when(F.size(t) >= n, F.transform(
             F.sequence(F.lit(1), F.size(t) - (n - 1)),
             lambda i: F.array_join(F.slice(t, i, n), " "))).otherwise(F.array().cast("array<string>"))
