@@ -36,6 +36,7 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="tidewater-bench")
     from tidewater.plans.registry import load_all
     reg = load_all()
+    spark.range(1000).selectExpr("sum(id)").collect()  # session start-up, not a query
     times = {}
     for name in names:
         t0 = time.time()
