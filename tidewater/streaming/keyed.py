@@ -10,6 +10,7 @@ checkpoint location records progress, and readers take the latest epoch.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +23,23 @@ def _epoch_dir(state_dir: str, epoch: int) -> str:
 
 
 def latest_state(spark: SparkSession, state_dir: str, schema=None) -> DataFrame | None:
-    """The newest committed state table, or None before the first batch."""
-    if not os.path.isdir(state_dir):
+    """The newest committed state table, or None before the first batch.
+
+    Epochs are found from the file listing of the state folder (Spark's own
+    listing, so it works on any Hadoop-compatible store); uncommitted output
+    never appears there because the writer only publishes files on commit.
+    """
+    try:
+        files = spark.read.parquet(state_dir).inputFiles()
+    except Exception:  # noqa: BLE001 - no state written yet
         return None
-    done = sorted(d for d in os.listdir(state_dir)
-                  if d.startswith("epoch=") and os.path.exists(os.path.join(state_dir, d, "_SUCCESS")))
-    if not done:
+    epochs = sorted({m.group(0) for f in files for m in [re.search(r"epoch=\d+", f)] if m})
+    if not epochs:
         return None
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(os.path.join(state_dir, done[-1]))
+    return r.parquet(state_dir.rstrip("/") + "/" + epochs[-1])
 
 
 def stream_upsert(spark: SparkSession, source: str, schema, state_dir: str, checkpoint: str, key: str,
