@@ -59,9 +59,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never a local checkpoint)."""
+    """Reliable checkpoint (survives executor loss; never a local checkpoint).
+
+    The frame is persisted while it is written, so the checkpoint job does not
+    compute it a second time; the cached copy is released afterwards.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def checked_broadcast_rows(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int | None:
