@@ -86,3 +86,24 @@ def test_lsh_pairs_subset_of_exact(spark):
            similarity.cosine_pairs(df, "id", "v", 0.9, method="lsh", block_rows=8).collect()}
     assert lsh <= exact
     assert len(lsh) >= 0.95 * len(exact)
+
+
+@pytest.mark.parametrize("small_group", [0, 64])
+def test_block_verify_paths_agree(spark, small_group):
+    """Hot buckets (block path) and ordinary buckets (self-join path) give the same pairs."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 50, size=(3, 16))
+    rows = []
+    for i in range(40):
+        sig = base[i % 3].copy()
+        sig[rng.integers(0, 16, size=2)] = rng.integers(50, 99, size=2)
+        rows.append((i, i, [int(x) for x in sig], int(i % 2)))
+    g = spark.createDataFrame(rows, "key long, ord long, u array<long>, g long")
+    got = {(r["i_key"], r["j_key"]) for r in
+           similarity.block_verify(g, 0.8, 5, kind="minhash", small_group=small_group).collect()}
+    want = set()
+    for a in rows:
+        for b in rows:
+            if a[0] < b[0] and a[3] == b[3] and np.mean(np.array(a[2]) == np.array(b[2])) >= 0.8:
+                want.add((a[0], b[0]))
+    assert got == want

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
-from tidewater.operators import joins, upsert
+from tidewater.operators import filters, joins, report, upsert
 from tidewater.plans.registry import query
 from tidewater.plans.views import ARTICLES_SQL, articles
 from tidewater.schemas import ARTICLE_FIELDS
@@ -190,7 +190,6 @@ def q_append_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ S1, F8, J8, A10, D5, D6, T7, T18
-from tidewater.operators import filters, report  # noqa: E402
 
 
 @query("scan_table", sql="SELECT * FROM orders")

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import clustering
+from tidewater.functions import text as T
+from tidewater.operators import clustering, dedup, scoring, similarity
+from tidewater.plans.q_text import s_strip
+from tidewater.plans.q_vectors import CENTROIDS_SQL, EMB_EDGES, greedy_sql
 from tidewater.plans.registry import query
+from tidewater.plans.views import ARTICLES_SQL, articles
+from tidewater.schemas import SEED_CATEGORIES
 from tidewater.sources.tables import scan_table
 
 K_RANGE = list(range(2, 10))
@@ -139,11 +144,6 @@ def q_k_sweep(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ scoring
-from tidewater.functions import text as T  # noqa: E402
-from tidewater.operators import scoring, similarity  # noqa: E402
-from tidewater.plans.q_text import s_strip  # noqa: E402
-from tidewater.plans.q_vectors import CENTROIDS_SQL  # noqa: E402
-from tidewater.plans.views import ARTICLES_SQL, articles  # noqa: E402
 
 
 @query("top_phrases", sql="""
@@ -277,9 +277,6 @@ def q_dedup_word2vec(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ T18 render_prompt, D5 flag_deduplicated
-from tidewater.operators import dedup  # noqa: E402
-from tidewater.plans.q_vectors import EMB_EDGES, greedy_sql  # noqa: E402
-from tidewater.schemas import SEED_CATEGORIES  # noqa: E402
 
 
 def _seed_catalogue_text() -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import text as T
 from tidewater.functions.vocab import english_stop_words
 from tidewater.operators import filters
-from tidewater.operators.text_ops import lexicon_from_words, preprocess_words
+from tidewater.operators.text_ops import lexicon_from_words, preprocess_article, preprocess_words
 from tidewater.plans.registry import query
 from tidewater.plans.views import ARTICLES_SQL, articles
 from tidewater.sources.tables import scan_table
@@ -447,7 +447,6 @@ def q_drop_incomplete(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- T7 / T18
-from tidewater.operators.text_ops import preprocess_article  # noqa: E402
 
 
 def s_drop_stop(x: str) -> str:
