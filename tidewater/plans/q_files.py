@@ -116,3 +116,20 @@ def q_scan_numbered_sections(spark, sf_dir):
                                    path, "Answers\n")
     return records.scan_numbered_sections(spark, path).select(
         "disruption_event", "port_affected", "date", "final_classification")
+
+
+@query("drop_incomplete_by_file", sql="""
+SELECT CAST(doc_id AS VARCHAR) AS id, source AS port FROM documents WHERE lang <> 'de'
+""")
+def q_drop_incomplete_by_file(spark, sf_dir):
+    """F5 with per-file keys: records missing a key that other records of the same file have are dropped."""
+    from tidewater.operators.filters import drop_incomplete_by_file
+    d = scan_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "records-f5")
+    date = F.when(F.col("lang") != "de", F.concat(F.lit("\nDate: "), F.col("lang"))).otherwise(F.lit(""))
+    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nPort Affected: "),
+                             F.col("source"), date).alias("value"))
+    recs.repartition(3).write.mode("overwrite").option("lineSep", "\n\n").text(path)
+    r = records.scan_blank_line_records(spark, path).where(F.size("kv") > 0)
+    kept = drop_incomplete_by_file(r, record="kv", file="file")
+    return kept.select(F.col("kv")["id"].alias("id"), F.col("kv")["Port Affected"].alias("port"))
