@@ -60,3 +60,16 @@ def q_crawl_frontier(spark, sf_dir):
     """Search URLs for every event type x pages 1..10."""
     kw = scan_table(spark, sf_dir, "events").select(F.col("event_type").alias("keyword")).distinct()
     return P.crawl_frontier(spark, TEMPLATE, kw, (1, 10)).select("keyword", F.col("page").cast("long"), "url")
+
+
+def _site_sql() -> str:
+    out = "'default'"
+    for name in reversed([n for n in P.SITE_PROFILES if n != "default"]):
+        out = f"CASE WHEN contains(lower(url), '{name}') THEN '{name}' ELSE {out} END"
+    return out
+
+
+@query("site_profile", sql=f"SELECT page_id, {_site_sql()} AS site FROM pages")
+def q_site_profile(spark, sf_dir):
+    """H4: the selector profile chosen for every page (by host name), from the parsing pass."""
+    return parsed(spark, sf_dir).select("page_id", "site")
