@@ -47,3 +47,19 @@ def test_no_elbow(spark):
     m = spark.createDataFrame([(1, 10.0, 0.0), (2, 8.0, 0.1), (3, 6.0, 0.2)], "k long, inertia double, silhouette double")
     with pytest.raises(clustering.NoElbowError):
         clustering.chosen_k(m, "elbow")
+
+
+def test_sample_rows_independent_of_partitioning(spark):
+    a = spark.range(0, 500, 1, 1).withColumnRenamed("id", "k")
+    b = spark.range(0, 500, 1, 9).withColumnRenamed("id", "k")
+    sa = [r["k"] for r in report.sample_rows(a, 25, 42, "k").collect()]
+    sb = [r["k"] for r in report.sample_rows(b, 25, 42, "k").collect()]
+    assert sa == sb and len(set(sa)) == 25
+
+
+def test_positional_join_offsets_and_out_of_range(spark):
+    from tidewater.operators import joins
+    left = spark.createDataFrame([(i, f"answer {i}") for i in range(1, 5)], "n long, a string")
+    right = spark.createDataFrame([(i * 10,) for i in range(3)], "row long")
+    got = sorted((r["n"], r["row"]) for r in joins.positional_join(left, ["n"], right, ["row"], offset=-1).collect())
+    assert got == [(1, None), (2, 0), (3, 10), (4, 20)]
