@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, zstd_quality
+from tidewater.llm import bpe, secret_scan, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -19,8 +27,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op4_url_filter": op4_url_filter,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_url_filter": url_rules.judge_sql(),
+}
