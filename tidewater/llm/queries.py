@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, secret_scan, url_rules, zstd_quality
+from tidewater.llm import bpe, rule_ledger, secret_scan, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -26,13 +26,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ledger.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op4_url_filter": op4_url_filter,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
+    "op9_rules": op9_rules,
 }
 
 SQL: dict[str, str] = {
     "op4_url_filter": url_rules.judge_sql(),
+    "op9_rules": rule_ledger.judge_sql(),
 }
