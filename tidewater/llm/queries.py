@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, rule_ledger, secret_scan, url_rules, zstd_quality
+from tidewater.llm import bpe, odd_sketch, rule_ledger, secret_scan, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -26,6 +26,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judge(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
 }
 
