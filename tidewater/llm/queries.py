@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, odd_sketch, rule_ledger, secret_scan, url_rules, zstd_quality
+from tidewater.llm import bpe, decontam, odd_sketch, rule_ledger, secret_scan, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -34,6 +34,10 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op4_url_filter": op4_url_filter,
@@ -41,9 +45,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op4_url_filter": url_rules.judge_sql(),
     "op9_rules": rule_ledger.judge_sql(),
+    "op10_decontamination": decontam.contamination_sql(),
 }
