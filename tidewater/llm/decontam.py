@@ -146,12 +146,12 @@ def contamination_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {ws} AS ws FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {ws} AS ws FROM benchmark WHERE item_id IS NOT NULL),
-at AS (SELECT item, ws, unnest(range(1, greatest(len(ws) - {WINDOW - 1}, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
-win AS (SELECT DISTINCT item, least(len(ws), {WINDOW}) AS n, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS g FROM at),
+spot AS (SELECT item, ws, unnest(range(1, greatest(len(ws) - {WINDOW - 1}, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item, least(len(ws), {WINDOW}) AS n, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS g FROM spot),
 sizes AS (SELECT DISTINCT n FROM win),
 pos AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n),
 m AS (SELECT p.rid, p.i, p.n, win.item FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM pos) p JOIN win USING (n, g)),
-h AS (SELECT rid, count(DISTINCT at) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS at FROM m) GROUP BY rid),
+h AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM m) GROUP BY rid),
 it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated

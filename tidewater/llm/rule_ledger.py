@@ -141,8 +141,8 @@ def judge_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, list_filter(regexp_split_to_array(text, '{space}+'), lambda x: x <> '') AS ws FROM d),
-at AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
-g AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM at),
+spot AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
+g AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM spot),
 twice AS (SELECT rid, g FROM g GROUP BY rid, g HAVING count(*) > 1),
 covered AS (SELECT rid, count(DISTINCT i + o) AS n FROM (SELECT g.rid, g.i, unnest([0, 1, 2]) AS o FROM g JOIN twice USING (rid, g)) GROUP BY rid),
 lines AS (SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
