@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, decontam, odd_sketch, rule_ledger, secret_scan, url_rules, zstd_quality
+from tidewater.llm import bpe, decontam, odd_sketch, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -14,6 +14,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
@@ -40,6 +44,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_url_filter": op4_url_filter,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
