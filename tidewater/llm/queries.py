@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, decontam, odd_sketch, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
+from tidewater.llm import bpe, decontam, odd_sketch, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -22,6 +22,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_personal_data": op5_personal_data,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
     "op8_near_duplicates": op8_near_duplicates,
