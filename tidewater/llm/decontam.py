@@ -56,14 +56,14 @@ def _small(df: DataFrame) -> DataFrame:
 
 def term_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, n): occurrences over all documents of each of the terms; 0 where there are none."""
-    tokens = tokenized(docs, text_col=text_col).select(F.explode("words").alias("term"))
+    tokens = tokenized(docs, text_col=text_col).select(F.explode_outer("words").alias("term"))
     seen = tokens.join(_small(terms.select("term")), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return terms.select("term").join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def postings(docs: DataFrame, terms: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
     """The index's rows (term, key, at) for the given terms over all documents."""
-    tokens = tokenized(docs, key_col, text_col=text_col).select(F.col(key_col).alias("key"), F.posexplode("words").alias("at", "term"))
+    tokens = tokenized(docs, key_col, text_col=text_col).select(F.col(key_col).alias("key"), F.posexplode_outer("words").alias("at", "term"))
     return tokens.join(_small(terms.select("term").distinct()), "term").select("term", "key", "at")
 
 

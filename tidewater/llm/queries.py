@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, decontam, odd_sketch, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
+from tidewater.llm import bpe, chat_pref, decontam, odd_sketch, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -14,6 +14,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_pref.preferences(table(spark, sf_dir, "conversations"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.repeats(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_preferences": op2_preferences,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_personal_data": op5_personal_data,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_preferences": chat_pref.PREFERENCES_SQL,
     "op4_url_filter": url_rules.judge_sql(),
     "op9_rules": rule_ledger.judge_sql(),
     "op10_decontamination": decontam.contamination_sql(),
