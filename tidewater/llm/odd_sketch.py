@@ -1,8 +1,8 @@
 """MinHash near-duplicates verified by odd sketches.
 
 Words are lower-cased (A-Z) runs of characters other than space and \\x09-\\x0D; a document's set holds its
-distinct 4-word shingles (with fewer words, the whole sequence). Each set gets 128 MinHash samples. They
-are cut into 32 bands of 4 for candidate buckets, and folded into a bitmap of 512 parities, the odd
+distinct 4-word shingles (with fewer words, the whole sequence). Each set gets 512 MinHash samples. The
+first 128 make 32 bands of 4 for candidate buckets; all are folded into a bitmap of 2048 parities, the odd
 sketch: the population count of two sketches' XOR estimates a high similarity. Candidates that pass the
 estimate are confirmed on their full sets.
 
@@ -29,17 +29,17 @@ from tidewater.llm.graph import components
 from tidewater.llm.util import store
 
 SHINGLE = 4
-SAMPLES, BANDS, ROWS = 128, 32, 4
-BITS = 512
+SAMPLES, BANDS, ROWS = 512, 32, 4
+BITS = 2048
 #: Links have 100 * intersection >= LINK * union.
 LINK = 80
-#: Sketches whose estimate is below this are no candidates: at a true 0.8 that is 5.5 standard deviations.
-FLOOR = 0.55
+#: Sketches whose estimate is below this are no candidates: at a true 0.8 that is 5 standard deviations.
+FLOOR = 0.70
 BLOCK = 512
 
 _rng = np.random.RandomState(20240229)
-_A = _rng.randint(1, 2**63, SAMPLES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.randint(1, 2**63, SAMPLES, dtype=np.int64).astype(np.uint64)
+_A = _rng.randint(0, 2**31, SAMPLES, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _rng.randint(0, 2**32, SAMPLES, dtype=np.int64).astype(np.uint32)
 _PLACE = _rng.randint(1, 2**63, SHINGLE, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW = _rng.randint(1, 2**63, (BANDS, ROWS), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = _rng.randint(1, 2**63, SAMPLES, dtype=np.int64).astype(np.uint64)
@@ -71,20 +71,21 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def minhash(s: np.ndarray) -> np.ndarray:
-    """The smallest of each sample's hashes over a set that isn't empty."""
-    low = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(s), 2048):
-        low = np.minimum(low, (_A[:, None] * s[None, at:at + 2048] + _B[:, None]).min(axis=1))
-    return low
+    """The smallest of each sample's 32-bit hashes over a set that isn't empty."""
+    x = (s >> np.uint64(32)).astype(np.uint32)
+    low = np.full(SAMPLES, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(x), 512):
+        low = np.minimum(low, (_A[:, None] * x[None, at:at + 512] + _B[:, None]).min(axis=1))
+    return low.astype(np.uint64)
 
 
 def bands(sig: np.ndarray) -> np.ndarray:
     """A 64-bit bucket for each band; the band's number goes into it."""
-    return _mix((sig.reshape(BANDS, ROWS) * _ROW).sum(axis=1, dtype=np.uint64)).view(np.int64)
+    return _mix((sig[:BANDS * ROWS].reshape(BANDS, ROWS) * _ROW).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
 def odd_sketch(sig: np.ndarray) -> np.ndarray:
-    """512 parities as 8 long integers: each sample flips one bit that its place and value choose."""
+    """The parities as long integers: each sample flips one bit that its place and value choose."""
     bit = _mix(sig + _SALT) % np.uint64(BITS)
     return np.packbits((np.bincount(bit.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
 
@@ -179,14 +180,15 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, best: bool
     sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("top"))
     mixed = mixed.where((F.col("n") > F.col("top")) & (F.col("n") > 2))
-    rows = store(named.join(mixed, "bucket").join(classes.select("set_key", "odd"), "set_key"), "mixed")
+    rows = store(named.join(mixed, "bucket").join(classes.select("set_key", "size", "odd"), "set_key"), "mixed")
     few = rows.where(F.col("label") != F.col("most"))
     limit = most_differing(FLOOR)
-    x = few.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("a"), F.col("label").alias("la"), F.col("most"), F.col("odd").alias("oa"))
-    y = rows.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("b"), F.col("label").alias("lb"), F.col("odd").alias("ob"))
+    x = few.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("a"), F.col("label").alias("la"), F.col("most"), F.col("size").alias("sa"), F.col("odd").alias("oa"))
+    y = rows.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("b"), F.col("label").alias("lb"), F.col("size").alias("sb"), F.col("odd").alias("ob"))
     # a pair of two classes outside the largest component is met once
     once = (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("most")) | (F.col("a") < F.col("b")))
-    small = x.join(y, "bucket").where(once).withColumn("z", _differing("oa", "ob")).where(F.col("z") <= limit).select("a", "b", F.col("z").cast("int"))
+    sized = (100 * F.col("sa") >= LINK * F.col("sb")) & (100 * F.col("sb") >= LINK * F.col("sa"))
+    small = x.join(y, "bucket").where(once & sized).withColumn("z", _differing("oa", "ob")).where(F.col("z") <= limit).select("a", "b", F.col("z").cast("int"))
 
     large = rows.where(F.col("n") > 64)
     cut = lambda n: F.ceil(n / BLOCK).cast("int")
@@ -194,7 +196,7 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, best: bool
     nx, ny = F.col("n") - F.col("top"), F.col("n")
     left = large.where(F.col("label") != F.col("most")).withColumn("i", place(nx)).withColumn("j", F.explode(F.sequence(F.lit(0), cut(ny) - 1)))
     right = large.withColumn("j", place(ny)).withColumn("i", F.explode(F.sequence(F.lit(0), cut(nx) - 1)))
-    shape = ["bucket", "i", "j", "set_key", "label", "odd", "most"]
+    shape = ["bucket", "i", "j", "set_key", "label", "size", "odd", "most"]
     blocks = left.withColumn("side", F.lit(0)).select(*shape, "side").unionByName(right.withColumn("side", F.lit(1)).select(*shape, "side"))
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
@@ -205,12 +207,15 @@ def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, best: bool
         names, codes = np.unique(np.array([*p["label"], *q["label"]], object), return_inverse=True)
         lp, lq = codes[:len(p)], codes[len(p):]
         kp, kq = p["set_key"].tolist(), q["set_key"].tolist()
+        sp, sq = p["size"].to_numpy(), q["size"].to_numpy()
         out = []
         for r in range(len(p)):
-            z = np.bitwise_count(op[r] ^ oq).sum(axis=1).astype(np.int64)
-            z[lq == lp[r]] = BITS
-            hit = np.flatnonzero(z <= limit)
-            out += [(kp[r], kq[c], int(z[c])) for c in (hit[np.argmin(z[hit])][None] if best and len(hit) else hit)]
+            may = np.flatnonzero((lq != lp[r]) & (100 * sq >= LINK * sp[r]) & (100 * sp[r] >= LINK * sq))
+            z = np.bitwise_count(op[r] ^ oq[may]).sum(axis=1).astype(np.int64)
+            near = np.flatnonzero(z <= limit)
+            if best and len(near):
+                near = near[np.argmin(z[near])][None]
+            out += [(kp[r], kq[may[c]], int(z[c])) for c in near]
         return pd.DataFrame(out, columns=["a", "b", "z"])
 
     wide = blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary, z int")
@@ -229,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives no rows.
     """
     marked = store(sketches(docs, id_col, text_col), "sketches")
-    classes = store(marked.where("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("id"), F.first("odd").alias("odd"), F.first("bands").alias("bands")), "classes")
+    classes = store(marked.where("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("odd").alias("odd"), F.first("bands").alias("bands")), "classes")
     members = classes.select("set_key", F.explode("bands").alias("bucket"))
     order = F.xxhash64("set_key")
     pivots = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min_by("set_key", order).alias("pivot")).where("n > 1")
@@ -243,16 +248,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = stars
     labels = components(links)
     crowded = members.where("n > 2").select("bucket", "set_key")
-    for best in (True, True, False):
-        more = store(_apart(crowded, labels, classes, best).join(tried, ["a", "b"], "left_anti"), "candidates")
-        if more.isEmpty():
-            if best:
-                continue
+    for best in (True, False):
+        found = store(_apart(crowded, labels, classes, best), "candidates")
+        if found.isEmpty():
             break
-        found = store(confirm(more, texts), "links")
+        more = store(found.join(tried, ["a", "b"], "left_anti"), "untried")
+        new = store(confirm(more, texts), "links")
         tried = tried.unionByName(more)
-        if not found.isEmpty():
-            links = links.unionByName(found)
+        if not new.isEmpty():
+            links = links.unionByName(new)
             labels = components(links)
     ids = classes.join(labels, classes.set_key == labels.node, "left").select("set_key", "id", F.coalesce("label", "set_key").alias("label"))
     low = ids.groupBy("label").agg(F.min("id").alias("low"))
