@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.util import row_key, store
+from tidewater.llm.util import discard, row_key, store
 
 LENGTH = 400
 GRAM = 48
@@ -149,25 +149,30 @@ class IndexFamily:
 
     @staticmethod
     def _sorted(rows: DataFrame) -> DataFrame:
-        return store(rows.repartition("key").sortWithinPartitions("key", "seg"), "suffix-level")
+        spread = F.coalesce(F.col("key"), F.xxhash64("did"))  # rows without a key go along, dealt out by document
+        return store(rows.repartition(spread).sortWithinPartitions("key", "seg"), "suffix-level")
 
     def add(self, batch: DataFrame) -> None:
-        """Scan ``batch`` (entries with a key) against itself and all levels, then merge tables of equal size."""
+        """Scan ``batch`` (entries) against itself and all levels, then merge tables of equal size; merged ones go."""
         batch = self._sorted(batch)
-        keys = batch.groupBy("key").agg(F.sum("times").alias("n"))
+        keys = batch.where("key IS NOT NULL").groupBy("key").agg(F.sum("times").alias("n"))
         found = [keys.where("n > 1").select("key")]
         found += [keys.select("key").join(level.select("key").distinct(), "key", "left_semi") for level in self.levels.values()]
         self.found.append(store(reduce(DataFrame.unionByName, found).distinct(), "suffix-matches"))
         size = 0
         while size in self.levels:
-            batch = self._sorted(self.levels.pop(size).unionByName(batch))
+            old, new = self.levels.pop(size), batch
+            batch = self._sorted(old.unionByName(new))
+            discard(old, new)
             size += 1
         self.levels[size] = batch
 
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.levels.values())
+
     def repeated(self) -> DataFrame:
         """Entries of all levels whose suffix occurs more than once."""
-        rows = reduce(DataFrame.unionByName, self.levels.values())
-        return rows.join(reduce(DataFrame.unionByName, self.found).distinct(), "key", "left_semi")
+        return self.rows().join(reduce(DataFrame.unionByName, self.found).distinct(), "key", "left_semi")
 
 
 def _blocks(variants: DataFrame, length: int) -> DataFrame:
@@ -237,13 +242,14 @@ def _classes(rows: DataFrame, group: str, own: str, *place: str) -> DataFrame:
 
 def covered(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
     """(did, start, n): byte ranges of (did, text) that strings of ``length`` bytes cover which also start elsewhere."""
-    rows = store(entries(docs, length), "suffix-entries")
     family = IndexFamily()
     for b in range(batches):
-        family.add(rows.where(F.col("key").isNotNull() & (F.pmod(F.xxhash64("did"), F.lit(batches)) == b)))
+        family.add(entries(docs.where(F.pmod(F.xxhash64("did"), F.lit(batches)) == b), length))
+    own = store(family.rows().where("key IS NULL").select("did", "start", "n"), "suffix-own")
     repeated = store(family.repeated().withColumn("c", F.col("times").cast("long")), "suffix-repeats")
+    discard(*family.levels.values(), *family.found)
     whole = store(_classes(repeated, "key", "seg", "did", "start", "n", "off"), "suffix-variants")
-    parts = [rows.where(F.col("key").isNull()).select("did", "start", "n"),
+    parts = [own,
              repeated.join(whole.where("c > 1").select("seg"), "seg", "left_semi").select("did", "start", (F.col("n") + length - 1).alias("n"))]
     # segments that share a suffix but differ: held against each other in blocks, then window by window
     open_ = store(_with_bytes(whole.where("variants > 1").select("seg", "did", "start", "n", "off", "c"), docs, length), "suffix-bytes")
@@ -255,7 +261,9 @@ def covered(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> Da
     windows = store(_windows(rest, length), "suffix-windows")
     twice = windows.groupBy("w").agg(F.sum("c").alias("times")).where("times > 1").select("w")
     parts.append(windows.where("c = 1").join(twice, "w", "left_semi").select("did", "start", F.lit(length).alias("n")))
-    return reduce(DataFrame.unionByName, parts)
+    found = store(reduce(DataFrame.unionByName, parts), "suffix-covered")
+    discard(own, repeated, whole, open_, blocks, halves, windows)
+    return found
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:

@@ -25,7 +25,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``store`` wrote and nothing will read again, and let Spark clean up after their jobs.
+
+    Spark removes the shuffle files of finished jobs when the driver collects its garbage, which may be long after.
+    """
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def row_key(*cols):
