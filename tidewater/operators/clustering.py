@@ -15,7 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +41,11 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int = 42, max_iter: int = 20):
 
 
 # ----------------------------------------------------------------------------- M4
-SIL_SCHEMA = "key long, other long, dsum double, cnt long"
+SIL_SCHEMA = "grp long, key long, other long, dsum double, cnt long"
 
 
 def _sil_block_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-    b1, b2 = int(pdf["b1"].iloc[0]), int(pdf["b2"].iloc[0])
+    b1, b2, grp = (int(pdf[c].iloc[0]) for c in ("b1", "b2", "grp"))
     left = pdf[pdf["blk"] == b1]
     right = left if b1 == b2 else pdf[pdf["blk"] == b2]
     A = np.vstack(left["v"].to_numpy()).astype(np.float64)
@@ -59,14 +60,14 @@ def _sil_block_fn(pdf: pd.DataFrame) -> pd.DataFrame:
         res = []
         for c in np.unique(other_cl):
             m = other_cl == c
-            res.append(pd.DataFrame({"key": keys, "other": c, "dsum": D[:, m].sum(1), "cnt": int(m.sum())}))
+            res.append(pd.DataFrame({"grp": grp, "key": keys, "other": c, "dsum": D[:, m].sum(1), "cnt": int(m.sum())}))
         return res
 
     out += sums(D, ka, cb)
     if b1 != b2:
         out += sums(D.T, kb, ca)
     return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-        {"key": [], "other": [], "dsum": [], "cnt": []})
+        {"grp": [], "key": [], "other": [], "dsum": [], "cnt": []})
 
 
 def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 2048,
@@ -76,7 +77,7 @@ def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_ro
     Rows go to blocks; each block pair is one task computing a distance matrix
     and per-cluster distance sums (O(n^2) work, bounded memory per task).
     Self distances are zero, so a(i) divides by (own cluster size - 1).
-    With ``group``, silhouettes are computed independently per group (e.g. per k).
+    With ``group``, silhouettes are computed independently per group (e.g. per k), which comes first in the result.
     """
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("v"),
                      F.col(cluster).cast("long").alias("cl"),
@@ -87,15 +88,15 @@ def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_ro
         .withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_nb").cast("int") - 1))) \
         .withColumn("b1", F.least("blk", "_x")).withColumn("b2", F.greatest("blk", "_x")).drop("_x", "_nb", "_gn")
     parts = g.groupBy("grp", "b1", "b2").applyInPandas(_sil_block_fn, SIL_SCHEMA)
-    per = parts.groupBy("key", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
-    per = per.join(rows.select("key", "cl"), "key")
+    per = parts.groupBy("grp", "key", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+    per = per.join(rows.select("grp", "key", "cl"), ["grp", "key"])
     own = F.when(F.col("other") == F.col("cl"), F.try_divide(F.col("dsum"), F.col("cnt") - 1))
     oth = F.when(F.col("other") != F.col("cl"), F.col("dsum") / F.col("cnt"))
-    s = per.groupBy("key").agg(F.max(F.when(F.col("other") == F.col("cl"), F.col("cnt"))).alias("own_n"),
+    s = per.groupBy("grp", "key").agg(F.max(F.when(F.col("other") == F.col("cl"), F.col("cnt"))).alias("own_n"),
                                F.max(own).alias("a"), F.min(oth).alias("b"))
     sil = F.when((F.col("own_n") <= 1) | F.col("b").isNull(), F.lit(0.0)) \
         .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return s.select("key", sil.alias("silhouette"))
+    return s.select(*([F.col("grp").alias(group)] if group else []), "key", sil.alias("silhouette"))
 
 
 def silhouette_exact(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 2048) -> float:
@@ -135,16 +136,16 @@ def k_sweep(df: DataFrame, key: str, vec: str, k_range: Sequence[int] = range(2,
     return metrics, fits
 
 
-def inertia_given(df: DataFrame, vec: str, cluster: str) -> DataFrame:
-    """Inertia of a given assignment per group: sum ||x||^2 - ||sum x||^2 / n per cluster.
+def inertia_given(df: DataFrame, vec: str, *cluster: str) -> DataFrame:
+    """Inertia of a given assignment, (cluster columns, inertia): sum ||x||^2 - ||sum x||^2 / n per cluster.
 
-    Returns (cluster, n, sumsq, sumvec) rows; the total is their sum.
+    The vector sums are a partial aggregation; no dimension becomes a row.
     """
-    d = df.select(F.col(cluster).alias("c"), F.posexplode(F.col(vec).cast("array<double>")).alias("i", "x"))
-    per_dim = d.groupBy("c", "i").agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"),
-                                      F.count(F.lit(1)).alias("n"))
-    return per_dim.groupBy("c").agg(
-        (F.sum("sxx") - F.sum(F.col("sx") * F.col("sx") / F.col("n"))).alias("inertia"))
+    x = F.col(vec).cast("array<double>")
+    d = df.select(*cluster, array_to_vector(x).alias("_v"), F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v).alias("_sq"))
+    sums = d.groupBy(*cluster).agg(Summarizer.sum(F.col("_v")).alias("_s"), F.sum("_sq").alias("_sq"), F.count(F.lit(1)).alias("_n"))
+    square = F.aggregate(vector_to_array("_s"), F.lit(0.0), lambda s, v: s + v * v)
+    return sums.select(*cluster, (F.col("_sq") - square / F.col("_n")).alias("inertia"))
 
 
 # ----------------------------------------------------------------------------- M5 / M6

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import filters
 from tidewater.operators.ranking import with_ordinal
-from tidewater.session import checked_broadcast_rows
 
 
 def unprocessed(scraped: DataFrame, processed: DataFrame, key: str = "_id") -> DataFrame:
@@ -43,12 +42,9 @@ def positional_join(left: DataFrame, left_order: Sequence[str], right: DataFrame
 def name_clusters(rows: DataFrame, names: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Cluster id -> category name for each row (joined by id, never by list position).
 
-    The name table has one row per cluster; it is broadcast when its checked
-    row count is small, else joined by shuffle.
+    The name table has one row per cluster; the optimizer broadcasts it when its bytes allow.
     """
-    n = checked_broadcast_rows(names)
-    side = F.broadcast(names) if n is not None else names
-    return rows.join(side, cluster, "left")
+    return rows.join(names, cluster, "left")
 
 
 def label_scores(rows: DataFrame, labels: Sequence[str], score, key: str, text: str) -> DataFrame:

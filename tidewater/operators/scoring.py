@@ -247,10 +247,11 @@ def top_phrases(df: DataFrame, key: str, text: str, n: int = 10, stop_words: Seq
 
 
 def lda_topics(df: DataFrame, text: str, k: int = 5, words: int = 10, seed: int = 42,
-               vocab_size: int = 1 << 16, max_iter: int = 20) -> DataFrame:
+               max_iter: int = 20) -> DataFrame:
     """K topics x ``words`` top words over alphabetic tokens (CountVectorizer + MLlib LDA)."""
     toks = df.select(T.alpha_tokens(F.col(text)).alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=vocab_size).fit(toks)
+    n = toks.select(F.explode("tokens").alias("t")).agg(F.count_distinct("t")).first()[0]  # every word is in the vocabulary
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=max(1, n)).fit(toks)
     lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="tf").fit(cv.transform(toks))
     spark = df.sparkSession
     vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index long, term string")

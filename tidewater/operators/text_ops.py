@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
-from tidewater.session import checked_broadcast_rows
 
 
 def lemma_table(tokens: DataFrame, lexicon: DataFrame, tok: str = "tok") -> DataFrame:
@@ -28,34 +26,19 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, tok: str = "tok") -> Data
     return best.where(F.col("lemma") != F.col(tok))
 
 
-def lemmatize(df: DataFrame, key: str, tokens: str, lexicon: DataFrame, out: str = "lemmas",
-              max_map_rows: int = 2_000_000) -> DataFrame:
+def lemmatize(df: DataFrame, key: str, tokens: str, lexicon: DataFrame, out: str = "lemmas") -> DataFrame:
     """T5 with a lexicon table (surface, lemma) of any size; unknown words stay unchanged.
 
     The lemma of a token depends on the token only, so it is computed once per
-    distinct token (``lemma_table``). When the table of changing tokens is within
-    ``max_map_rows`` (checked) it is shipped to the tasks as a broadcast dict and
-    applied per Arrow batch; otherwise occurrences are exploded with their
-    position, joined to the table and reassembled in order per row.
+    distinct token (``lemma_table``). Only occurrences whose token changes are joined and gathered, as
+    (position, lemma) per row; the row's own tokens fill the rest.
     """
-    occ_tokens = df.select(F.explode(tokens).alias("tok"))
-    table = lemma_table(occ_tokens, lexicon).persist()
-    n = checked_broadcast_rows(table, max_map_rows)
-    if n is not None:
-        mapping = {r["tok"]: r["lemma"] for r in table.toLocalIterator()}
-        bmap = df.sparkSession.sparkContext.broadcast(mapping)
-
-        @F.pandas_udf("array<string>")
-        def apply_map(col: pd.Series) -> pd.Series:
-            m = bmap.value
-            return pd.Series([None if v is None else [m.get(w, w) for w in v] for v in col])
-
-        return df.withColumn(out, apply_map(F.col(tokens)))
     occ = df.select(key, F.posexplode(tokens).alias("pos", "tok"))
-    per_tok = occ.join(table, "tok", "left").select(key, "pos", F.coalesce("lemma", "tok").alias("w"))
-    rebuilt = per_tok.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda s: s["w"]).alias(out))
-    return df.join(rebuilt, key, "left").withColumn(out, F.coalesce(F.col(out), F.col(tokens)))
+    hits = occ.join(lemma_table(occ.select("tok"), lexicon), "tok")
+    changed = hits.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pos", "lemma"))).alias("_changed"))
+    joined = df.join(changed, key, "left")
+    swapped = F.transform(F.col(tokens), lambda w, i: F.coalesce(F.try_element_at("_changed", i), w))
+    return joined.withColumn(out, F.when(F.col("_changed").isNotNull(), swapped).otherwise(F.col(tokens))).drop("_changed")
 
 
 def lexicon_from_words(words: DataFrame, col: str = "word") -> DataFrame:

@@ -49,18 +49,18 @@ def q_scan_blank_line_records(spark, sf_dir):
 
 
 @query("scan_numbered_lines", sql="""
-SELECT row_number() OVER (ORDER BY doc_id) AS n, split_part(text, chr(10), 1) AS text, '' AS label FROM documents
+SELECT row_number() OVER (ORDER BY doc_id) AS n, replace(text, chr(10), ' ') AS text, '' AS label FROM documents
 """)
 def q_scan_numbered_lines(spark, sf_dir):
     """K9 + S7: headlines written as numbered records, read back as (n, text, label)."""
-    d = scan_table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("h"))
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "\n", " ").alias("h"))
     path = scratch_path(spark, "numbered")
     upsert.write_numbered_text(d, path, "h", ["doc_id"])
     return records.scan_numbered_lines(spark, path).select(F.col("n").cast("long").alias("n"), "text", "label")
 
 
 @query("scan_word_vectors", sql="""
-SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, list_transform(embedding, lambda x: round(x, 4)) AS vector
+SELECT 'w' || CAST(vec_id AS VARCHAR) AS token, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vector
 FROM embeddings
 """)
 def q_scan_word_vectors(spark, sf_dir):
@@ -71,7 +71,7 @@ def q_scan_word_vectors(spark, sf_dir):
                                  F.array_join(F.transform("embedding", lambda x: x.cast("string")), " ")).alias("v"))
     lines.write.mode("overwrite").text(path)
     v = records.scan_word_vectors(spark, path)
-    return v.select("token", F.transform("vector", lambda x: F.round(x.cast("double"), 4)).alias("vector"))
+    return v.select("token", F.transform("vector", lambda x: x.cast("float").cast("double")).alias("vector"))
 
 
 @query("scan_sheet", sql="SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
@@ -86,7 +86,7 @@ def q_scan_sheet(spark, sf_dir):
 
 def _section_sql() -> str:
     from tidewater.plans.q_text import WS, s_strip
-    sec = ("'Disruption event: ' || split_part(text, chr(10), 1) || chr(10) || 'Port Affected: ' || source || "
+    sec = ("'Disruption event: ' || replace(text, chr(10), ' ') || chr(10) || 'Port Affected: ' || source || "
            "chr(10) || 'Date: ' || lang || CASE WHEN n_chars % 2 = 0 THEN chr(10) || "
            "'Final Classification: **Port Closure**' ELSE '' END || chr(10) || chr(10)")
     ev = f"Disruption event:{WS}*(.*)\\n"
@@ -106,7 +106,7 @@ def q_scan_numbered_sections(spark, sf_dir):
     """S6 + T13: documents exported as numbered answer sections (several files), read back."""
     from tidewater.operators.upsert import numbered_lines
     d = scan_table(spark, sf_dir, "documents")
-    body = F.concat(F.lit("Disruption event: "), F.substring_index("text", "\n", 1), F.lit("\nPort Affected: "),
+    body = F.concat(F.lit("Disruption event: "), F.translate("text", "\n", " "), F.lit("\nPort Affected: "),
                     F.col("source"), F.lit("\nDate: "), F.col("lang"),
                     F.when(F.col("n_chars") % 2 == 0, F.lit("\nFinal Classification: **Port Closure**"))
                     .otherwise(F.lit("")))

@@ -167,24 +167,24 @@ def q_delete_discovered(spark, sf_dir):
 
 @query("numbered_lines", sql="""
 SELECT row_number() OVER (ORDER BY doc_id) AS n,
-       CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR) || '. ' || split_part(text, chr(10), 1) || chr(10) || chr(10)
+       CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR) || '. ' || replace(text, chr(10), ' ') || chr(10) || chr(10)
        AS line FROM documents
 """)
 def q_numbered_lines(spark, sf_dir):
     """K9: '{n}. {headline}' records numbered from 1 in doc_id order."""
-    d = scan_table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("h"))
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "\n", " ").alias("h"))
     return upsert.numbered_lines(d, "h", ["doc_id"])
 
 
 @query("append_rows", sql=f"""
 SELECT _id, {', '.join(f"coalesce({c}, '') AS {c}" if c in ('_id', 'headline', 'link') else f"'' AS {c}"
                        for c in ARTICLE_FIELDS[1:])}
-FROM (SELECT CAST(item_id AS VARCHAR) AS _id, split_part(text, '.', 1) AS headline, NULL AS link FROM benchmark)
+FROM (SELECT CAST(item_id AS VARCHAR) AS _id, text AS headline, NULL AS link FROM benchmark)
 """)
 def q_append_rows(spark, sf_dir):
     """K2: benchmark items appended to an empty article table; missing fields ''."""
     b = scan_table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").cast("string").alias("_id"), F.substring_index("text", ".", 1).alias("headline"),
+        F.col("item_id").cast("string").alias("_id"), F.col("text").alias("headline"),
         F.lit(None).cast("string").alias("link"))
     return upsert.append_rows(None, b, ARTICLE_FIELDS)
 

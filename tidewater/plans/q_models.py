@@ -73,15 +73,9 @@ metrics AS (SELECT inert.k, inert.inertia, coalesce(sil.silhouette, 0.0) AS silh
 def metrics_given(spark, sf_dir):
     """(k, inertia, silhouette) for k = 2..9 under cluster = label mod k; silhouette 0 at k = 2."""
     g = given_assignments(spark, sf_dir)
-    inert = clustering.inertia_given(g.withColumn("kc", F.col("k") * 100 + F.col("cluster")), "embedding", "kc") \
-        .select((F.floor(F.col("c") / 100)).cast("long").alias("k"), "inertia") \
-        .groupBy("k").agg(F.sum("inertia").alias("inertia"))
-    # silhouette per k: keys made unique per k, clusters made unique per k
-    g2 = g.where(F.col("k") > 2).select((F.col("k") * 1_000_000_000 + F.col("vec_id")).alias("key"), "k",
-                                        "embedding", (F.col("k") * 100 + F.col("cluster")).alias("kc"))
-    per = clustering.silhouette_per_row(g2, "key", "embedding", "kc", group="k")
-    sil = per.select((F.floor(F.col("key") / 1_000_000_000)).cast("long").alias("k"), "silhouette") \
-        .groupBy("k").agg(F.avg("silhouette").alias("silhouette"))
+    inert = clustering.inertia_given(g, "embedding", "k", "cluster").groupBy("k").agg(F.sum("inertia").alias("inertia"))
+    per = clustering.silhouette_per_row(g.where(F.col("k") > 2), "vec_id", "embedding", "cluster", group="k")
+    sil = per.groupBy("k").agg(F.avg("silhouette").alias("silhouette"))
     return inert.join(sil, "k", "left").select("k", "inertia", F.coalesce("silhouette", F.lit(0.0)).alias("silhouette"))
 
 

@@ -116,7 +116,7 @@ def q_catalogue_text(spark, sf_dir):
 CLUSTER_SUMMARY_SQL = """
 WITH s AS (SELECT source, count(*) AS size FROM documents GROUP BY source),
 r AS (SELECT source, doc_id, headline FROM (
-        SELECT source, doc_id, split_part(text, chr(10), 1) AS headline,
+        SELECT source, doc_id, replace(text, chr(10), ' ') AS headline,
                row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rk FROM documents) WHERE rk <= 20),
 f AS (SELECT source, list(headline ORDER BY doc_id) AS sample_texts FROM r GROUP BY source)
 SELECT s.source, s.size, f.sample_texts FROM s JOIN f USING (source)
@@ -125,7 +125,7 @@ SELECT s.source, s.size, f.sample_texts FROM s JOIN f USING (source)
 
 def _cluster_summary(spark, sf_dir):
     d = scan_table(spark, sf_dir, "documents").select(
-        "source", "doc_id", F.substring_index("text", "\n", 1).alias("headline"))
+        "source", "doc_id", F.translate("text", "\n", " ").alias("headline"))
     return report.cluster_summary(d, "source", "headline", "doc_id", samples=20)
 
 

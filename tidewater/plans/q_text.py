@@ -157,32 +157,32 @@ def q_preprocess_words(spark, sf_dir):
 
 # ---------------------------------------------------------------- T8 / T9
 @query("combine_text", sql="""
-SELECT conv_id, turn, coalesce(split_part(text, chr(10), 1), '') || ' ' || coalesce(role, '') AS combined
+SELECT conv_id, turn, coalesce(replace(text, chr(10), ' '), '') || ' ' || coalesce(role, '') AS combined
 FROM conversations
 """)
 def q_combine_text(spark, sf_dir):
     """First line of each turn + ' ' + role."""
     c = scan_table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn",
-                    T.combine_text(F.substring_index("text", "\n", 1), F.col("role")).alias("combined"))
+                    T.combine_text(F.translate("text", "\n", " "), F.col("role")).alias("combined"))
 
 
 @query("null_out_placeholders", sql=f"""
 SELECT doc_id, CASE WHEN regexp_matches(h, '{T.PLACEHOLDER_PATTERN}') THEN NULL ELSE h END AS port
-FROM (SELECT doc_id, split_part(text, chr(10), 1) AS h FROM documents)
+FROM (SELECT doc_id, replace(text, chr(10), ' ') AS h FROM documents)
 """)
 def q_null_out_placeholders(spark, sf_dir):
     """T9 on every document's first line."""
-    d = docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("h"))
+    d = docs(spark, sf_dir).select("doc_id", F.translate("text", "\n", " ").alias("h"))
     return d.select("doc_id", T.null_out_placeholders("h").alias("port"))
 
 
 # ---------------------------------------------------------------- T10 / T11
 def kv_spark():
-    return F.concat(F.lit("Disruption event: "), F.substring_index("text", "\n", 1),
+    return F.concat(F.lit("Disruption event: "), F.translate("text", "\n", " "),
                     F.lit("\nPort Affected: "), F.col("source"), F.lit("\nDate:\n"),
                     F.lit("Port Affected:  "), F.col("lang"), F.lit(" \n 1. Disruption event: x"))
-KV_SQL = ("'Disruption event: ' || split_part(text, chr(10), 1) || chr(10) || 'Port Affected: ' || source"
+KV_SQL = ("'Disruption event: ' || replace(text, chr(10), ' ') || chr(10) || 'Port Affected: ' || source"
           " || chr(10) || 'Date:' || chr(10) || 'Port Affected:  ' || lang || ' ' || chr(10) || ' 1. Disruption event: x'")
 
 
@@ -214,11 +214,11 @@ def q_parse_key_values(spark, sf_dir):
 # ---------------------------------------------------------------- T12 / F10
 def block_spark():
     return F.concat(F.lit(" "), F.col("doc_id").cast("string"), F.lit("\nDisruption event:  "),
-                       F.regexp_replace(F.substring("text", 1, 200), "Date:|Port Affected:", ""),
+                       F.regexp_replace(F.col("text"), "Date:|Port Affected:", ""),
                        F.lit("\n"), F.when(F.col("lang") != "de", F.lit("Port Affected: ")).otherwise(F.lit("")),
                        F.col("source"), F.lit("\nDate: \n"), F.col("lang"), F.lit("\n"))
 BLOCK_SQL = ("' ' || CAST(doc_id AS VARCHAR) || chr(10) || 'Disruption event:  ' || "
-             "regexp_replace(substr(text, 1, 200), 'Date:|Port Affected:', '', 'g') || chr(10) || "
+             "regexp_replace(text, 'Date:|Port Affected:', '', 'g') || chr(10) || "
              "CASE WHEN lang <> 'de' THEN 'Port Affected: ' ELSE '' END || source || chr(10) || 'Date: ' || "
              "chr(10) || lang || chr(10)")
 
@@ -244,11 +244,11 @@ def q_extract_block_fields(spark, sf_dir):
 
 # ---------------------------------------------------------------- T13 / T14
 def section_spark():
-    return F.concat(F.lit("Disruption event: **"), F.substring_index("text", "\n", 1),
+    return F.concat(F.lit("Disruption event: **"), F.translate("text", "\n", " "),
                          F.lit("**\nPort Affected: ## "), F.col("source"), F.lit("\nDate: "), F.col("lang"),
                          F.when(F.col("n_chars") % 2 == 0, F.lit("\nFinal Classification: **Port Closure** x **"))
                          .otherwise(F.lit("")))
-SECTION_SQL = ("'Disruption event: **' || split_part(text, chr(10), 1) || '**' || chr(10) || "
+SECTION_SQL = ("'Disruption event: **' || replace(text, chr(10), ' ') || '**' || chr(10) || "
                "'Port Affected: ## ' || source || chr(10) || 'Date: ' || lang || "
                "CASE WHEN n_chars % 2 = 0 THEN chr(10) || 'Final Classification: **Port Closure** x **' ELSE '' END")
 
@@ -279,11 +279,11 @@ def q_extract_section_fields(spark, sf_dir):
 
 # ---------------------------------------------------------------- T15
 def label_line_spark():
-    return F.concat(F.col("doc_id").cast("string"), F.lit(". "), F.substring_index("text", " ", 3),
+    return F.concat(F.col("doc_id").cast("string"), F.lit(". "), F.translate("text", "\n", " "),
                             F.lit(" Port "), F.element_at(F.array(
                                 *[F.lit(x) for x in ["Strike", "Closure Port Attack", "Delays", "Seizure and None"]]),
                                 (F.pmod("n_chars", F.lit(4)) + 1).cast("int")))
-LABEL_LINE_SQL = ("CAST(doc_id AS VARCHAR) || '. ' || array_to_string((string_split(text, ' '))[1:3], ' ') || "
+LABEL_LINE_SQL = ("CAST(doc_id AS VARCHAR) || '. ' || replace(text, chr(10), ' ') || "
                   "' Port ' || (['Strike', 'Closure Port Attack', 'Delays', 'Seizure and None'])[n_chars % 4 + 1]")
 
 
@@ -318,13 +318,13 @@ SELECT doc_id,
   CASE WHEN len(p) = 2 THEN p[1] END AS category,
   CASE WHEN len(p) = 2 THEN p[2] END AS description,
   CASE WHEN len(p) <> 2 THEN 'expected ''name: description'', got ' || CAST(len(p) AS VARCHAR) || ' parts' END AS error
-FROM (SELECT doc_id, string_split(CASE WHEN n_chars % 3 = 0 THEN split_part(text, chr(10), 1)
-        ELSE split_part(text, ' ', 1) || ': ' || source END, ': ') AS p FROM documents)
+FROM (SELECT doc_id, string_split(CASE WHEN n_chars % 3 = 0 THEN replace(text, chr(10), ' ')
+        ELSE replace(text, chr(10), ' ') || ': ' || source END, ': ') AS p FROM documents)
 """)
 def q_split_name_description(spark, sf_dir):
     """T17: 'Name: description' answers; answers without the separator become error rows."""
-    line = F.when(F.col("n_chars") % 3 == 0, F.substring_index("text", "\n", 1)) \
-        .otherwise(F.concat(F.substring_index("text", " ", 1), F.lit(": "), F.col("source")))
+    line = F.when(F.col("n_chars") % 3 == 0, F.translate("text", "\n", " ")) \
+        .otherwise(F.concat(F.translate("text", "\n", " "), F.lit(": "), F.col("source")))
     return docs(spark, sf_dir).select("doc_id", *T.split_name_description(line))
 
 

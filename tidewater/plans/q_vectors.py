@@ -74,13 +74,13 @@ wv AS (SELECT w.token, e.embedding AS vector FROM (
 """
 
 
-def headline_tokens(spark, sf_dir):
-    d = scan_table(spark, sf_dir, "documents").select("doc_id", "source", F.substring_index("text", "\n", 1).alias("h"))
+def text_tokens(spark, sf_dir):
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").alias("h"))
     return d.withColumn("toks", T.drop_stop_words(T.split_words(F.col("h")), STOP))
 
 
 def s_tokens_sql() -> str:
-    s = s_strip("split_part(text, chr(10), 1)")
+    s = s_strip("text")
     return (f"list_filter(CASE WHEN {s} = '' THEN []::VARCHAR[] ELSE regexp_split_to_array({s}, '{WS}+') END, "
             f"lambda w: NOT list_contains({s_list(STOP)}, lower(w)))")
 
@@ -99,15 +99,15 @@ vecs AS (SELECT tk.doc_id, tk.source,
 
 
 def doc_vectors(spark, sf_dir):
-    return similarity.mean_vector(headline_tokens(spark, sf_dir), "doc_id", "toks", word_vectors(spark, sf_dir), 64)
+    return similarity.mean_vector(text_tokens(spark, sf_dir), "doc_id", "toks", word_vectors(spark, sf_dir), 64)
 
 
 @query("mean_vector", sql=f"""
 WITH {WORDS_SQL}, {MEAN_SQL}
-SELECT doc_id, list_transform(mean_vec, lambda x: round(x, 4)) AS mean_vec FROM vecs
+SELECT doc_id, list_transform(mean_vec, lambda x: round(x, 4) + 0.0) AS mean_vec FROM vecs
 """)
 def q_mean_vector(spark, sf_dir):
-    """J4 + A1: mean word vector of each headline (stop words dropped; unknown words skipped)."""
+    """J4 + A1: mean word vector of each whole text (stop words dropped; unknown words skipped)."""
     v = doc_vectors(spark, sf_dir)
     return v.select("doc_id", F.transform("mean_vec", lambda x: F.round(x.cast("double"), 4)).alias("mean_vec"))
 
@@ -161,33 +161,41 @@ def q_dedup_incremental(spark, sf_dir):
     return out.select("vec_id", "is_unique", "is_new")
 
 
-# ------------------------------------------------------------------ J6 / D3 Jaccard
-@query("jaccard_pairs_exact", sql="""
-WITH s AS (SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}_]+', '', 'g') AS t FROM documents),
-g AS (SELECT doc_id, CASE WHEN length(t) >= 3 THEN list_distinct(list_transform(range(1, length(t) - 1),
+JACCARD_CTE = r"""
+s AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '', 'g') AS t FROM documents),
+tg AS (SELECT doc_id, CASE WHEN length(t) >= 3 THEN list_distinct(list_transform(range(1, length(t) - 1),
         lambda i: substr(t, i, 3))) ELSE []::VARCHAR[] END AS gs FROM s),
 p AS (SELECT a.doc_id AS i_key, b.doc_id AS j_key, len(list_intersect(a.gs, b.gs)) AS inter,
              len(a.gs) AS na, len(b.gs) AS nb
-      FROM g a JOIN g b ON a.doc_id < b.doc_id
-      WHERE len(a.gs) > 0 AND len(b.gs) >= 0.9 * len(a.gs) AND len(a.gs) >= 0.9 * len(b.gs))
+      FROM tg a JOIN tg b ON a.doc_id < b.doc_id
+      WHERE len(a.gs) > 0 AND len(b.gs) >= 0.9 * len(a.gs) AND len(a.gs) >= 0.9 * len(b.gs))"""
+JACCARD_SQL = "WITH" + JACCARD_CTE + """
 SELECT i_key, j_key, round(inter / (na + nb - inter), 5) AS sim FROM p WHERE inter / (na + nb - inter) >= 0.9
-""")
+"""
+
+
+# ------------------------------------------------------------------ J6 / D3 Jaccard
+@query("jaccard_pairs_exact", sql=JACCARD_SQL)
 def q_jaccard_pairs_exact(spark, sf_dir):
     """J6 exact: whole-text trigram-set Jaccard >= 0.9 by prefix filtering."""
     p = minhash.jaccard_pairs_exact(scan_table(spark, sf_dir, "documents"), "doc_id", "text", 0.9)
     return p.select("i_key", "j_key", F.round("sim", 5).alias("sim"))
 
 
-@query("jaccard_pairs_minhash")
+@query("jaccard_pairs_minhash", sql=JACCARD_SQL)
 def q_jaccard_pairs_minhash(spark, sf_dir):
-    """MinHash (128) banding 16 x 8, estimate >= 0.9, whole texts."""
+    """MinHash (128) banding 16 x 8, true Jaccard >= 0.9, whole texts."""
     p = minhash.jaccard_pairs(scan_table(spark, sf_dir, "documents"), "doc_id", "text", 0.9)
     return p.select("i_key", "j_key", F.round("sim", 5).alias("sim"))
 
 
-@query("dedup_minhash")
+@query("dedup_minhash", sql=greedy_sql(JACCARD_CTE.strip() + """,
+e AS (SELECT i_key AS i, j_key AS j FROM p WHERE inter / (na + nb - inter) >= 0.9)""", "SELECT doc_id AS id FROM documents") + """
+SELECT d.doc_id, d.source FROM documents d
+WHERE list_contains((SELECT kept FROM g WHERE rn = (SELECT count(*) FROM documents)), d.doc_id)
+""")
 def q_dedup_minhash(spark, sf_dir):
-    """D3: greedy in doc_id order over MinHash edges (estimate >= 0.9); kept documents."""
+    """D3: greedy in doc_id order over verified MinHash edges (Jaccard >= 0.9); kept documents."""
     d = scan_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return dedup.dedup_minhash(d, "doc_id", "text", 0.9).select("doc_id", "source")
 
@@ -205,7 +213,7 @@ WHERE list_contains((SELECT kept FROM g WHERE rn = (SELECT count(*) FROM documen
 GROUP BY d.source
 """)
 def q_flagship(spark, sf_dir):
-    """Flagship: headline mean vectors -> greedy dedup (cosine > 0.9, doc_id order) -> kept per source."""
+    """Flagship: mean vectors of whole texts -> greedy dedup (cosine > 0.9, doc_id order) -> kept per source."""
     v = doc_vectors(spark, sf_dir)
     kept = dedup.dedup_greedy(v, "doc_id", "mean_vec", 0.9, order="doc_id")
     return report.value_counts(kept, "source")

@@ -8,10 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows above which a side is never broadcast, whatever Spark's size estimate says.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tidewater",
                   extra: dict | None = None) -> SparkSession:
     """Local/test session with the settings the library assumes (AQE on, UI off, UTC)."""
@@ -40,11 +36,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage and is only read here.
-    When it is unset (local runs, tests) a fresh scratch folder is created.
+    When it is unset in a local run (tests) a fresh scratch folder is created; elsewhere that is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -70,12 +68,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
-
-
-def checked_broadcast_rows(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows`` (one bounded job), else ``None``.
-
-    Used before broadcasting a side whose size depends on the data.
-    """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None

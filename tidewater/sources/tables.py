@@ -16,44 +16,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Inputs at least this large are spread over the cluster when the scan yields too few tasks.
-SPREAD_MIN_BYTES = 4 << 20
+def scan_table(spark: SparkSession, sf_dir: str, name: str, schema=None) -> DataFrame:
+    """Full collection to a DataFrame (declared schema when given).
 
-
-def _local_bytes(df: DataFrame) -> int | None:
-    total = 0
-    for f in df.inputFiles():
-        if not f.startswith("file:"):
-            return None
-        p = f[len("file:"):]
-        total += os.path.getsize(p) if os.path.exists(p) else 0
-    return total
-
-
-def ensure_parallel(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster's parallelism.
-
-    A large table written as one Parquet row group is read by one task, and all
-    per-row work fused into that stage (regexes, tokenising) would run serially.
-    Large inputs with many row groups or files already scan in parallel and are
-    returned unchanged, so no shuffle is added at scale.
+    How the files are cut into tasks is left to ``spark.sql.files.maxPartitionBytes``.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    size = _local_bytes(df)
-    if size is not None and size < min_bytes:
-        return df
-    return df.repartition(par)
-
-
-def scan_table(spark: SparkSession, sf_dir: str, name: str, schema=None, spread: bool = True) -> DataFrame:
-    """Full collection to a DataFrame (declared schema when given)."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    df = r.parquet(table_path(sf_dir, name))
-    return ensure_parallel(df) if spread else df
+    return r.parquet(table_path(sf_dir, name))
 
 
 def scan_filtered(df: DataFrame, predicate: Column | None = None, fields: Sequence[str] | None = None,
@@ -74,10 +45,3 @@ def scan_filtered(df: DataFrame, predicate: Column | None = None, fields: Sequen
             out = out.orderBy(*order_by)
         out = out.limit(limit)
     return out
-
-
-def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES) -> None:
-    """Expose the tables to ``spark.sql`` under their own names."""
-    for n in names:
-        if os.path.exists(table_path(sf_dir, n)):
-            scan_table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -13,6 +13,7 @@ import os
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.operators import dedup, upsert
@@ -22,18 +23,22 @@ def _epoch_dir(state_dir: str, epoch: int) -> str:
     return os.path.join(state_dir, f"epoch={epoch:012d}")
 
 
-def latest_state(spark: SparkSession, state_dir: str, schema=None) -> DataFrame | None:
-    """The newest committed state table, or None before the first batch.
+def latest_state(spark: SparkSession, state_dir: str, schema=None, before: int | None = None) -> DataFrame | None:
+    """The newest committed state table (of an epoch below ``before``), or None before the first batch.
+
+    Only a missing folder means that there is no state; any other read error is raised.
 
     Epochs are found from the file listing of the state folder (Spark's own
     listing, so it works on any Hadoop-compatible store); uncommitted output
     never appears there because the writer only publishes files on commit.
     """
     try:
-        files = spark.read.parquet(state_dir).inputFiles()
-    except Exception:  # noqa: BLE001 - no state written yet
-        return None
-    epochs = sorted({m.group(0) for f in files for m in [re.search(r"epoch=\d+", f)] if m})
+        files = spark.read.format("binaryFile").load(state_dir).select("path").distinct().collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no state written yet
+    epochs = sorted({m.group(0) for f in files for m in [re.search(r"epoch=(\d+)", f.path)] if m and (before is None or int(m[1]) < before)})
     if not epochs:
         return None
     r = spark.read
@@ -49,7 +54,7 @@ def stream_upsert(spark: SparkSession, source: str, schema, state_dir: str, chec
     Run with ``availableNow`` so a backlog drains in micro-batches and the query stops.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
-        cur = latest_state(spark, state_dir, schema)
+        cur = latest_state(spark, state_dir, schema, before=epoch)  # a replay doesn't read what it overwrites
         inc = upsert.latest_per_key(batch, key, list(order))
         # the record with the greatest order wins, so replayed or late batches cannot roll a key back
         new = inc if cur is None else upsert.latest_per_key(cur.unionByName(inc), key, list(order))
@@ -67,7 +72,7 @@ def stream_dedup(spark: SparkSession, source: str, schema, state_dir: str, check
                  max_files_per_trigger: int | None = None):
     """ST2: arriving rows checked against the kept rows so far (D2); state = all processed rows + is_unique."""
     def merge(batch: DataFrame, epoch: int) -> None:
-        cur = latest_state(spark, state_dir)
+        cur = latest_state(spark, state_dir, before=epoch)
         if cur is None:
             seen = batch.limit(0)
             done = None
