@@ -184,12 +184,6 @@ def q_classify_severity(spark, sf_dir):
                     F.round("confidence", 6).alias("confidence"))
 
 
-@query("classify_severity_generative")
-def q_classify_severity_generative(spark, sf_dir):
-    """M10 generative path (prompt -> injected model -> level) over unique articles."""
-    return scoring.classify_severity(articles(spark, sf_dir), "_id", "gemini")
-
-
 @query("analyze_new_incident", sql=f"""
 WITH {CENTROIDS_SQL},
 d AS (SELECT c.label AS q_key, e.vec_id AS c_key, e.label AS category,
@@ -213,20 +207,6 @@ def seed_catalogue(spark):
     return seed_categories(spark)
 
 
-@query("summarise")
-def q_summarise(spark, sf_dir):
-    """Every article through the extraction prompt and the (stand-in) model, parsed to fields."""
-    a = articles(spark, sf_dir).select("_id", "headline", "description")
-    return scoring.summarise(a)
-
-
-@query("classify_category")
-def q_classify_category(spark, sf_dir):
-    """Pending articles get a category from the model; main_risk and final_risk updated."""
-    a = articles(spark, sf_dir).select("_id", "main_risk", "is_unique", F.col("headline").alias("summary"))
-    return scoring.classify_category(a, seed_catalogue(spark)).select("_id", "main_risk", "final_risk")
-
-
 @query("discover_categories")
 def q_discover_categories(spark, sf_dir):
     """M7: 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the model."""
@@ -250,17 +230,6 @@ def q_encode(spark, sf_dir):
     return scoring.encode(b, "text").select("item_id", "embedding")
 
 
-@query("prompt_grid")
-def q_prompt_grid(spark, sf_dir):
-    """Model x {raw, cleaned} x {short, role} prompts over every benchmark item, one inference pass."""
-    b = scan_table(spark, sf_dir, "benchmark").withColumn("cleaned", T.clean_text("text"))
-    prompts = {"short": "Classify the port risk: ", "role": "You are a maritime risk analyst. Classify: "}
-    models = {"stub_a": scoring.default_generator, "stub_b": lambda p: scoring.default_generator(p[::-1])}
-    g = scoring.prompt_grid(b, {"raw": "text", "cleaned": "cleaned"}, prompts, models)
-    return g.select("item_id", "model", "text_variant", "prompt_style",
-                    T.first_label(F.col("response")).alias("label"), "response")
-
-
 @query("dedup_word2vec")
 def q_dedup_word2vec(spark, sf_dir):
     """Word2Vec (100 dims, window 5) fitted on all documents; greedy dedup on document vectors."""

@@ -33,6 +33,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from tidewater.plans import (  # noqa: F401
-        q_report, q_text, q_keys, q_pages, q_vectors, q_dedup, q_models, q_files, q_stream,
+        q_report, q_text, q_keys, q_pages, q_vectors, q_models, q_files, q_stream,
     )
     return REGISTRY
