@@ -117,9 +117,9 @@ def greedy_sql(edges_cte: str, ids_sql: str, seed_kept: str = "[]::BIGINT[]") ->
     """Sequential greedy over ordered ids as a recursive CTE (the oracle form of D1/D2)."""
     return f"""
 WITH RECURSIVE {edges_cte},
-ids AS (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM ({ids_sql})),
-nb AS (SELECT j, list(i) AS l FROM e GROUP BY j),
-steps AS (SELECT ids.rn, ids.id, coalesce(nb.l, []::BIGINT[]) AS l FROM ids LEFT JOIN nb ON nb.j = ids.id),
+ids AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM ({ids_sql})),
+nb AS MATERIALIZED (SELECT j, list(i) AS l FROM e GROUP BY j),
+steps AS MATERIALIZED (SELECT ids.rn, ids.id, coalesce(nb.l, []::BIGINT[]) AS l FROM ids LEFT JOIN nb ON nb.j = ids.id),
 g(rn, kept) AS (
   SELECT 0, {seed_kept}
   UNION ALL
