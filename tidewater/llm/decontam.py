@@ -39,10 +39,13 @@ def tokenized(rows: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
     return d.select(*keep, F.slice("_parts", head + 1, F.size("_parts") - head - tail).alias("words"))
 
 
-def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(phrase, len, ws, items): the distinct windows of all items, with the ids (as text) of the items that have them."""
+def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, unnamed: bool = False) -> DataFrame:
+    """(phrase, len, ws, items): the distinct windows of all items, with the ids (as text) of the items that have them.
+
+    ``unnamed``: items without an id have phrases too, but no place among the ids.
+    """
     t = tokenized(items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")), "item")
-    t = t.where((F.size("words") > 0) & F.col("item").isNotNull())
+    t = t.where((F.size("words") > 0) & (F.lit(unnamed) | F.col("item").isNotNull()))
     last = F.greatest(F.size("words") - window, F.lit(0))
     w = t.select("item", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("words", i + 1, F.lit(window)))).alias("ws"))
     grouped = w.groupBy("ws").agg(F.collect_set("item").alias("items"))
@@ -120,8 +123,16 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     an id can't be named and is left out. Rows that repeat an id are judged by their own text. Other columns
     are not read; an empty table gives no rows.
     """
+    return judged(docs, items, id_col, text_col, item_col).drop("key")
+
+
+def judged(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", unnamed: bool = False) -> DataFrame:
+    """``contamination`` with each row's key, ``row_key`` of its id and text.
+
+    ``unnamed``: passages of items without an id are hits; only the list of ids leaves those items out.
+    """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).withColumn("key", row_key("_id", "text"))
-    tests = store(phrases(items, item_col), "phrases")
+    tests = store(phrases(items, item_col, unnamed=unnamed), "phrases")
     counts = store(term_counts(rows, tests.select(F.explode("ws").alias("term")).distinct()), "term-counts")
     lists = store(rarest_terms(tests, counts), "lists")
     index = store(postings(rows, lists.select(F.explode("picks.term").alias("term"))), "postings")
@@ -130,11 +141,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hit = sure.select("key", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("at")).distinct()
     hits = hit.groupBy("key").agg(F.count(F.lit(1)).alias("n_hit"))
     named = sure.select("key", "phrase").distinct().join(_small(tests.select("phrase", F.explode("items").alias("item"))), "phrase")
-    per = hits.join(named.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("found")), "key")
+    per = hits.join(named.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("found")), "key", "left")
     sized = tokenized(rows, "_id", "key").select("_id", "key", F.size("words").cast("long").alias("n_words"))
     out = sized.join(per, "key", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
     found = F.coalesce("found", F.array().cast("array<string>"))
-    return out.select(F.col("_id").alias(id_col), "n_words", "n_hit", F.size(found).cast("long").alias("n_items"),
+    return out.select("key", F.col("_id").alias(id_col), "n_words", "n_hit", F.size(found).cast("long").alias("n_items"),
                       F.sha2(F.array_join(found, ",").cast("binary"), 256).alias("items_sha256"),
                       ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
