@@ -209,8 +209,8 @@ def seed_catalogue(spark):
 
 @query("discover_categories")
 def q_discover_categories(spark, sf_dir):
-    """M7: 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the model."""
-    a = articles(spark, sf_dir).select("_id", F.col("headline").alias("summary"), "main_risk") \
+    """M7: whole texts of the 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the model."""
+    a = articles(spark, sf_dir).select("_id", F.col("description").alias("summary"), "main_risk") \
         .withColumn("_id", F.col("_id").cast("long"))
     cats, _ = scoring.discover_categories(a, "_id", "summary", seed_catalogue(spark), range(2, 10),
                                           "silhouette", minimum_samples=20)
