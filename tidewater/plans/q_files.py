@@ -21,6 +21,11 @@ SELECT CAST(doc_id AS VARCHAR) AS _id, 'event ' || CAST(doc_id AS VARCHAR) AS ev
 """
 
 
+def text_field():
+    """Line 'Text: <the whole text>' of an exported record, line ends as spaces; a null text is empty."""
+    return F.concat(F.lit("\nText: "), F.translate(F.coalesce("text", F.lit("")), "\n", " "))
+
+
 @query("scan_id_blocks", sql=BLOCK_SQL_PORT)
 def q_scan_id_blocks(spark, sf_dir):
     """Documents exported as 'id:' blocks (several files), read back and parsed."""
@@ -28,7 +33,7 @@ def q_scan_id_blocks(spark, sf_dir):
     path = scratch_path(spark, "id-blocks")
     blocks = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nDisruption event: event "),
                                F.col("doc_id").cast("string"), F.lit("\nPort Affected: "), F.col("source"),
-                               F.lit("\nDate: "), F.col("lang"), F.lit("\n\n")).alias("value"))
+                               F.lit("\nDate: "), F.col("lang"), text_field(), F.lit("\n\n")).alias("value"))
     blocks.repartition(4).write.mode("overwrite").text(path)
     return records.scan_id_blocks(spark, path).select("_id", "event", "port_affected", "date")
 
@@ -40,7 +45,7 @@ def q_scan_blank_line_records(spark, sf_dir):
     """S4 + T10: documents exported as blank-line separated 'Key: value' records, read back by folder."""
     d = scan_table(spark, sf_dir, "documents")
     path = scratch_path(spark, "records")
-    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nPort Affected: "),
+    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), text_field(), F.lit("\nPort Affected: "),
                              F.col("source"), F.lit("\nDate: "), F.col("lang")).alias("value"))
     recs.repartition(3).write.mode("overwrite").option("lineSep", "\n\n").text(path)
     r = records.scan_blank_line_records(spark, path).where(F.size("kv") > 0)
@@ -127,7 +132,7 @@ def q_drop_incomplete_by_file(spark, sf_dir):
     d = scan_table(spark, sf_dir, "documents")
     path = scratch_path(spark, "records-f5")
     date = F.when(F.col("lang") != "de", F.concat(F.lit("\nDate: "), F.col("lang"))).otherwise(F.lit(""))
-    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nPort Affected: "),
+    recs = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), text_field(), F.lit("\nPort Affected: "),
                              F.col("source"), date).alias("value"))
     recs.repartition(3).write.mode("overwrite").option("lineSep", "\n\n").text(path)
     r = records.scan_blank_line_records(spark, path).where(F.size("kv") > 0)

@@ -225,9 +225,9 @@ def q_lda_topics(spark, sf_dir):
 
 @query("encode")
 def q_encode(spark, sf_dir):
-    """M1: benchmark texts encoded with the injected (default: hashed trigram) encoder."""
-    b = scan_table(spark, sf_dir, "benchmark")
-    return scoring.encode(b, "text").select("item_id", "embedding")
+    """M1: document texts encoded with the injected (default: hashed trigram) encoder."""
+    d = scan_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scoring.encode(d, "text").select("doc_id", "embedding")
 
 
 @query("dedup_word2vec")
