@@ -19,6 +19,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.util import store
+
 # Kinds in their order. The patterns match what the published formats match after their
 # checks: a card is a maximal chain of 12 to 19 digits, so the count is part of the pattern.
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -198,8 +200,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     # the outer form: else the optimizer repeats the whole expression in a filter for empty arrays
     each = marked.select("_base", F.explode_outer("_proposed").alias("x")).where("x IS NOT NULL")
     inside = F.exists("_base", lambda b: (F.col("x.start") <= b["start"]) & (b["end"] <= F.col("x.end")))
-    table = each.select(array_to_vector("x.f").alias("features"), inside.cast("double").alias("label"), F.col("x.generator").alias("g"),
-                        (F.pmod(F.col("x.h"), F.lit(2)) == 0).alias("held")).coalesce(1).persist()  # a bounded sample
+    # the scan and the patterns run in all tasks; only the bounded sample is read into one, in an order of its own
+    sample = store(each.select("x.f", inside.cast("double").alias("label"), F.col("x.generator").alias("g"), F.col("x.h").alias("h")), "sample")
+    table = sample.coalesce(1).sortWithinPartitions("h", "g", "label", "f").select(
+        array_to_vector("f").alias("features"), "label", "g", (F.pmod(F.col("h"), F.lit(2)) == 0).alias("held")).persist()
     try:
         known = {(r.held, r.label): r["count"] for r in table.groupBy("held", "label").count().collect()}
         if not all(known.get((h, y)) for h in (True, False) for y in (0.0, 1.0)):
