@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, chat_pref, decontam, odd_sketch, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
+from tidewater.llm import bpe, chat_pref, decontam, odd_sketch, periodic_runs, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -50,6 +50,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_preferences": op2_preferences,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
     "op10_decontamination": op10_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
