@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bpe, chat_pref, decontam, odd_sketch, periodic_runs, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
+from tidewater.llm import best_fit, bpe, chat_pref, decontam, odd_sketch, periodic_runs, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -50,6 +50,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_best_fit": op11_best_fit,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
