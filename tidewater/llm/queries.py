@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import best_fit, bpe, chat_pref, decontam, odd_sketch, periodic_runs, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
+from tidewater.llm import best_fit, bpe, chat_pref, decontam, merkle, odd_sketch, periodic_runs, pii, rule_ledger, secret_scan, suffix_index, url_rules, zstd_quality
 from tidewater.llm.util import table
 
 
@@ -56,6 +56,10 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rules": op9_rules,
     "op10_decontamination": op10_decontamination,
     "op11_best_fit": op11_best_fit,
+    "op12_merkle": op12_merkle,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -80,4 +85,5 @@ SQL: dict[str, str] = {
     "op4_url_filter": url_rules.judge_sql(),
     "op9_rules": rule_ledger.judge_sql(),
     "op10_decontamination": decontam.contamination_sql(),
+    "op12_merkle": merkle.manifest_sql(),
 }
