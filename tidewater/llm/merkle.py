@@ -247,7 +247,7 @@ def manifest_sql() -> str:
 {name}_top AS (SELECT rid, arg_max(x, lvl) AS x, arg_max(p, lvl) AS p FROM {name} GROUP BY rid)"""
     return f"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce('=' || source, '~') AS g, {leaf('text')} AS leaf,
-  CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS sent FROM documents),
+  CASE WHEN doc_id IS NOT NULL AND {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS sent FROM documents),
 o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM d),
 base AS (SELECT g, idx, leaf AS h, n FROM o),
 {_grown_sql('tree', 'base')},
