@@ -15,6 +15,9 @@ There are at most 4096 lengths and 4096 gap sizes, so a sweep's input doesn't gr
 from __future__ import annotations
 
 import functools
+import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,7 +34,7 @@ SIZE = 4096
 END_ID = 1
 #: Widths of the bands of sizes, from sweep to sweep; the last holds all sizes.
 BANDS = (64, 512, SIZE + 1)
-#: Words whose ids a Python worker remembers at most.
+#: Words whose ids a Python worker remembers; beyond, it forgets all before the next text.
 CACHE = 1_000_000
 #: Ranks that one row of a plan is split into before it is dealt out.
 CHUNK = 1 << 16
@@ -41,15 +44,39 @@ RANGE_ROWS = 1_000_000
 _RUN = "kind string, size int, first long, n long, seq long, per long, at int"
 
 
+#: Latin letters in their composed forms, then ASCII punctuation without the apostrophe: the tokenizer takes these apart in one way.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 @functools.cache
 def _tokenizer(path: str):
-    """The tokenizer and its word cache, once for each Python worker."""
-    import os
-
+    """The tokenizer, its model, how it writes letters that aren't ASCII, and its word cache, once for each Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    t = Tokenizer.from_file(path)
+    t.no_truncation()
+    t.no_padding()
+    letters = {ord(c): t.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+    return t, t.model, letters, {}
+
+
+def _word_ids(word: bytes, tokenizer, model, letters: dict[int, str], known: dict[bytes, bytes]) -> bytes:
+    """The ids of one word. Only its letters in lower case go through the model where they make up a plain word."""
+    s = word.decode("utf-8")
+    m = _PLAIN.fullmatch(s)
+    if m is None:
+        return np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+    low, rest = m[1].lower(), m[2].encode()
+    stem = low.encode()
+    if (ids := known.get(stem)) is None:
+        found = [x.id for x in model.tokenize(low.translate(letters))]
+        ids = known[stem] = struct.pack(f"<{len(found)}I", *found)
+    if not rest:
+        return ids
+    if (after := known.get(rest)) is None:
+        after = known[rest] = np.array(tokenizer.encode(m[2], add_special_tokens=False).ids, "<u4").tobytes()
+    return ids + after
 
 
 def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
@@ -58,18 +85,14 @@ def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     White space separates words in this tokenizer and yields no ids, so a text is encoded word by word; words
     met before come from the cache.
     """
-    tokenizer, known = _tokenizer(path)
+    *parts, known = _tokenizer(path)
     end = END_ID.to_bytes(4, "little")
     for text in texts:
         words = (text or "").encode("utf-8").split()
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > CACHE:
+        if len(known) > CACHE:
             known.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        for w in {w for w in words if w not in known}:
+            known[w] = _word_ids(w, *parts, known)
         yield np.frombuffer(b"".join([known[w] for w in words]) + end, "<u4")
 
 
@@ -204,5 +227,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     each = chunks.withColumn("i", F.explode(F.sequence(low, F.least(low + CHUNK, F.col("n")) - 1)))
     target = each.select("length", (F.col("first") + F.col("i")).alias("rank"), (F.col("seq") + F.floor(F.col("i") / F.col("per"))).alias("sequence_id"),
                          (F.col("at") + F.pmod(F.col("i"), F.col("per")) * F.col("length")).cast("long").alias("offset"))
+    # the plan's rows are few before they are dealt out and as many as pieces after: never a side to broadcast
+    target = target.hint("merge")
     numbered = rows.join(starts.select("length", "part", "first"), ["length", "part"]).withColumn("rank", F.col("first") + F.col("local"))
     return numbered.join(target, ["length", "rank"]).select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
