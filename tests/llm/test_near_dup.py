@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewater.llm import odd_sketch as o
@@ -87,6 +88,35 @@ def test_large_buckets_in_blocks_lose_no_link(spark, monkeypatch):
     assert sorted(tuple(r[:3]) for r in got) == sorted(brute(rows))
 
 
+def test_rows_without_ids_and_a_common_line(spark):
+    rng = random.Random(6)
+    vocab = [f"c{k}" for k in range(4000)]
+    line = [rng.choice(vocab) for _ in range(64)]  # all share it, at a similarity below 0.8
+    rows = [(None, " ".join([*line, *(rng.choice(vocab) for _ in range(rng.randrange(8, 12)))])) for _ in range(250)]
+    rows += [(i if i % 2 else None, r[1] + " end") for i, r in enumerate(rows[:40])]
+    got = o.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda v: tuple(-1 if x is None else x for x in v)
+    assert sorted(key(r[:3]) for r in got) == sorted(key(r) for r in brute(rows))
+
+
+def test_a_block_gives_a_forest():
+    rng = random.Random(4)
+    base = [f"t{k}" for k in range(80)]
+    texts = [" ".join(base[:k] + ["other"] + base[k + 1:]) for k in range(60)] + [" ".join(rng.sample(base, 80)) for _ in range(5)]
+    sets = [o.shingles(t) for t in texts]
+    frame = pd.DataFrame({"set_key": [o.set_key(x) for x in sets], "size": [len(x) for x in sets], "odd": [o.odd_sketch(o.minhash(x)) for x in sets], "text": texts})
+    frame["label"] = frame["set_key"]
+    linked = [(a, b) for a in range(65) for b in range(a) if o.linked(sets[a], sets[b])]
+    got = o.forest(frame, frame)
+    assert len(linked) > 1000 and len(got) == 59
+    joined = {frame["set_key"][0]}
+    for _ in got:
+        joined |= {k for pair in got if joined & {*pair} for k in pair}
+    assert len(joined) == 60
+    frame["label"] = b"one"
+    assert o.forest(frame, frame) == []
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.RandomState(3)
     for share in (0.7, 0.8, 0.9, 0.95):

@@ -7,9 +7,10 @@ sketch: the population count of two sketches' XOR estimates a high similarity. C
 estimate are confirmed on their full sets.
 
 Documents with equal sets are one class from the start. In each bucket all classes are held against
-one of them; what that leaves apart is held against the bucket's largest component by sketch in
-bounded blocks, until no two components of a bucket have an unconfirmed candidate pair. Two sets
-at 0.8 share no band with probability (1 - 0.8^4)^32, less than 5e-8.
+one of them. What that leaves apart is held against all of the bucket in bounded blocks: sketches
+choose the pairs, the full sets confirm them where they meet, and a block gives a spanning forest of its links,
+fewer than it has rows. Two sets at 0.8 share no band with probability (1 - 0.8^4)^32, less than 5e-8. Shingles are
+64-bit hashes: two of n different shingles agree with probability n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ BITS = 2048
 LINK = 80
 #: Sketches whose estimate is below this are no candidates: at a true 0.8 that is 5 standard deviations.
 FLOOR = 0.70
-BLOCK = 512
+#: Classes, and shingles, that one side of a block holds about at most; rows of buckets up to SMALL classes share blocks.
+BLOCK, BLOCK_SHINGLES, SMALL = 512, 1 << 19, 64
 
 _rng = np.random.RandomState(20240229)
 _A = _rng.randint(0, 2**31, SAMPLES, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -101,9 +103,13 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = LINK) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, n_shingles, set_key, odd, bands (null where the set is empty)."""
-    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """Per document: id, text_key, n_shingles, set_key, odd, bands (null where the set is empty)."""
+    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("text_key"))
     kind = columns.schema["id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +123,10 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 odd.append(None if sig is None else odd_sketch(sig).tolist())
                 band.append(None if sig is None else bands(sig).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(odd, pa.list_(pa.int64())),
-                 pa.array(band, pa.list_(pa.int64()))], ["id", "n_shingles", "set_key", "odd", "bands"])
+                [batch.column("id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(odd, pa.list_(pa.int64())),
+                 pa.array(band, pa.list_(pa.int64()))], ["id", "text_key", "n_shingles", "set_key", "odd", "bands"])
 
-    return columns.mapInArrow(sketch, f"id {kind}, n_shingles long, set_key binary, odd array<long>, bands array<long>")
+    return columns.mapInArrow(sketch, f"id {kind}, text_key binary, n_shingles long, set_key binary, odd array<long>, bands array<long>")
 
 
 def _differing(a: str, b: str) -> Column:
@@ -154,75 +160,102 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = LINK) -> DataFram
     return rows.mapInArrow(check, "a binary, b binary")
 
 
-def _with_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(set_key, text) of the nodes, from a document of each class whose set is the class's."""
-    wanted = nodes.join(classes.select("set_key", "id"), "set_key").select("set_key", "id")
-    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    rows = text.join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("set_key", "text")
+def _with_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """(set_key, text) of the nodes: the text that each class chose, read once however often it repeats."""
+    wanted = nodes.join(classes.select("set_key", "text_key"), "set_key")
+    text = docs.select(F.col(text_col).alias("text")).withColumn("text_key", _text_key(F.col("text")))
+    return text.join(wanted, "text_key").select("set_key", "text").dropDuplicates(["set_key"])
 
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [set_key(shingles(t)) == k for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(own, "set_key binary, text string").dropDuplicates(["set_key"])
+class _Sets:
+    """The full sets of a block's classes, and how many shingles each shares with a given one."""
+
+    def __init__(self, texts: list[str]):
+        self.sets = [shingles(t) for t in texts]
+        values = np.concatenate(self.sets)
+        owners = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], owners[order]
 
+    def shared(self, s: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """For each of the chosen classes the size of its intersection with ``s``."""
+        if len(which) <= 4:
+            return np.array([len(np.intersect1d(s, self.sets[k], assume_unique=True)) for k in which], np.int64)
+        low, high = (np.searchsorted(self.values, s, side) for side in ("left", "right"))
+        n = high - low
+        at = np.arange(n.sum()) + np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        return np.bincount(self.owners[at], minlength=len(self.sets))[which]
 
-def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
-    """Candidate pairs between components that still meet in a bucket.
 
-    Classes outside a bucket's largest component are held against all of the bucket. Small buckets are
-    joined, large ones compared in blocks of at most about BLOCK by BLOCK sketches. ``best``: only the most
-    similar partner of each class.
+def forest(p: pd.DataFrame, q: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links between the classes of p and q (set_key, label, size, odd, text) that join components not yet joined.
+
+    Sketches choose the pairs, full sets confirm them; at most one link fewer is given than there are components.
+    """
+    limit, out = most_differing(FLOOR), []
+    op, oq = (np.array(v["odd"].tolist(), np.int64).view(np.uint64) for v in (p, q))
+    names = {k: i for i, k in enumerate(dict.fromkeys([*p["label"], *q["label"]]))}
+    lp, lq = (np.array([names[k] for k in v["label"]]) for v in (p, q))
+    sp, sq = p["size"].to_numpy(), q["size"].to_numpy()
+    kp, kq, tp = p["set_key"].tolist(), q["set_key"].tolist(), p["text"].tolist()
+    sets = None
+    for r in range(len(p)):
+        may = np.flatnonzero((lq != lp[r]) & (100 * sq >= LINK * sp[r]) & (100 * sp[r] >= LINK * sq))
+        near = may[np.bitwise_count(op[r] ^ oq[may]).sum(axis=1) <= limit] if len(may) else may
+        if not len(near):
+            continue
+        sets = sets or _Sets(q["text"].tolist())
+        own = shingles(tp[r])
+        both = sets.shared(own, near)
+        for c in near[100 * both >= LINK * (len(own) + sq[near] - both)]:
+            if lp[r] != lq[c]:
+                out.append((kp[r], kq[c]))
+                gone, stays = lq[c], lp[r]
+                lp[lp == gone], lq[lq == gone] = stays, stays
+    return out
+
+
+def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components that still meet in a bucket.
+
+    Classes outside a bucket's largest component are held against all of the bucket: large buckets in blocks of
+    bounded rows and shingles, many small ones together.
     """
     named = members.join(labels, members.set_key == labels.node, "left").select(
-        "bucket", "set_key", F.coalesce("label", "set_key").alias("label"))
-    sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("top"))
+        "bucket", "set_key", F.coalesce("label", "set_key").alias("label")).join(classes.select("set_key", "size", "odd"), "set_key")
+    sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("held"))
+    mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("top"),
+                                        F.sum("held").alias("held"), F.max_by("held", F.struct("n", "label")).alias("held_top"))
     mixed = mixed.where((F.col("n") > F.col("top")) & (F.col("n") > 2))
-    rows = store(named.join(mixed, "bucket").join(classes.select("set_key", "size", "odd"), "set_key"), "mixed")
-    few = rows.where(F.col("label") != F.col("most"))
-    limit = most_differing(FLOOR)
-    x = few.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("a"), F.col("label").alias("la"), F.col("most"), F.col("size").alias("sa"), F.col("odd").alias("oa"))
-    y = rows.where(F.col("n") <= 64).select("bucket", F.col("set_key").alias("b"), F.col("label").alias("lb"), F.col("size").alias("sb"), F.col("odd").alias("ob"))
-    # a pair of two classes outside the largest component is met once
-    once = (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("most")) | (F.col("a") < F.col("b")))
-    sized = (100 * F.col("sa") >= LINK * F.col("sb")) & (100 * F.col("sb") >= LINK * F.col("sa"))
-    small = x.join(y, "bucket").where(once & sized).withColumn("z", _differing("oa", "ob")).where(F.col("z") <= limit).select("a", "b", F.col("z").cast("int"))
-
-    large = rows.where(F.col("n") > 64)
-    cut = lambda n: F.ceil(n / BLOCK).cast("int")
-    place = lambda n: F.pmod(F.xxhash64("set_key"), cut(n)).cast("int")
-    nx, ny = F.col("n") - F.col("top"), F.col("n")
-    left = large.where(F.col("label") != F.col("most")).withColumn("i", place(nx)).withColumn("j", F.explode(F.sequence(F.lit(0), cut(ny) - 1)))
-    right = large.withColumn("j", place(ny)).withColumn("i", F.explode(F.sequence(F.lit(0), cut(nx) - 1)))
-    shape = ["bucket", "i", "j", "set_key", "label", "size", "odd", "most"]
-    blocks = left.withColumn("side", F.lit(0)).select(*shape, "side").unionByName(right.withColumn("side", F.lit(1)).select(*shape, "side"))
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        p, q = block[block["side"] == 0], block[block["side"] == 1]
-        if p.empty or q.empty:
-            return pd.DataFrame({"a": [], "b": [], "z": []})
-        op, oq = (np.array(v["odd"].tolist(), np.int64).view(np.uint64) for v in (p, q))
-        names, codes = np.unique(np.array([*p["label"], *q["label"]], object), return_inverse=True)
-        lp, lq = codes[:len(p)], codes[len(p):]
-        kp, kq = p["set_key"].tolist(), q["set_key"].tolist()
-        sp, sq = p["size"].to_numpy(), q["size"].to_numpy()
+    rows = store(named.join(mixed, "bucket"), "mixed")
+    small = (F.col("n") <= SMALL) & (F.col("held") <= BLOCK_SHINGLES)
+    few = rows.where(small)
+    total = few.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("held")).first()
+    cells = max(1, total.n // BLOCK, (total.held or 0) // BLOCK_SHINGLES)
+    few = few.withColumn("cell", F.pmod(F.xxhash64("bucket"), F.lit(cells))).withColumns({"i": F.lit(-1), "j": F.lit(-1), "side": F.lit(2)})
+
+    large = rows.where(~small)
+    cut = lambda n, held: F.greatest(F.ceil(n / BLOCK), F.ceil(held / BLOCK_SHINGLES)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("set_key"), n).cast("int")
+    nx = cut(F.col("n") - F.col("top"), F.col("held") - F.col("held_top"))
+    ny = cut(F.col("n"), F.col("held"))
+    left = large.where(F.col("label") != F.col("most")).withColumn("i", place(nx)).withColumn("j", F.explode(F.sequence(F.lit(0), ny - 1))).withColumn("side", F.lit(0))
+    right = large.withColumn("j", place(ny)).withColumn("i", F.explode(F.sequence(F.lit(0), nx - 1))).withColumn("side", F.lit(1))
+    shape = ["bucket", "cell", "i", "j", "side", "set_key", "label", "size", "odd", "most"]
+    blocks = few.select(*shape)
+    for part in (left, right):
+        blocks = blocks.unionByName(part.withColumn("cell", F.col("bucket")).select(*shape))
+
+    def confirmed(block: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for r in range(len(p)):
-            may = np.flatnonzero((lq != lp[r]) & (100 * sq >= LINK * sp[r]) & (100 * sp[r] >= LINK * sq))
-            z = np.bitwise_count(op[r] ^ oq[may]).sum(axis=1).astype(np.int64)
-            near = np.flatnonzero(z <= limit)
-            if best and len(near):
-                near = near[np.argmin(z[near])][None]
-            out += [(kp[r], kq[may[c]], int(z[c])) for c in near]
-        return pd.DataFrame(out, columns=["a", "b", "z"])
-
-    wide = blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary, z int")
-    pairs = small.unionByName(wide)
-    if best:
-        pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("z", "b")).alias("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for _, rows in block.groupby("bucket"):
+            p = rows[(rows["side"] == 0) | (rows["side"] == 2) & (rows["label"] != rows["most"])]
+            q = rows[rows["side"] != 0]
+            if len(p) and len(q):
+                out += forest(p, q)
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return blocks.join(texts, "set_key").groupBy("cell", "i", "j").applyInPandas(confirmed, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,11 +263,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty and blank texts have an empty set and are linked with nothing. Rows that repeat an id are
     rows of one class if their sets are equal, else of their own. A null id takes the smallest id of its
-    component, and is kept where the component has none. Other columns are not read; an empty table
-    gives no rows.
+    component, and is kept where the component has none; equal smallest ids are all kept. A text's whole set is
+    held in one task's memory. Other columns are not read; an empty table gives no rows.
     """
     marked = store(sketches(docs, id_col, text_col), "sketches")
-    classes = store(marked.where("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("odd").alias("odd"), F.first("bands").alias("bands")), "classes")
+    classes = store(marked.where("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("id"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("size"),
+                                                                          F.first("odd").alias("odd"), F.first("bands").alias("bands")), "classes")
     members = classes.select("set_key", F.explode("bands").alias("bucket"))
     order = F.xxhash64("set_key")
     pivots = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min_by("set_key", order).alias("pivot")).where("n > 1")
@@ -243,21 +277,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = store(_alike(members.where(F.col("set_key") != F.col("pivot")).select(*pair).distinct(), classes), "stars")
     # whatever may be compared lies in a bucket whose classes are many or alike
     nodes = stars.select(F.col("a").alias("set_key")).union(stars.select("b")).union(members.where("n > 2").select("set_key")).distinct()
-    texts = store(_with_texts(nodes, classes, docs, id_col, text_col), "texts")
+    texts = store(_with_texts(nodes, classes, docs, text_col), "texts")
     links = store(confirm(stars, texts), "links")
-    tried = stars
     labels = components(links)
-    crowded = members.where("n > 2").select("bucket", "set_key")
-    for best in (True, False):
-        found = store(_apart(crowded, labels, classes, best), "candidates")
-        if found.isEmpty():
-            break
-        more = store(found.join(tried, ["a", "b"], "left_anti"), "untried")
-        new = store(confirm(more, texts), "links")
-        tried = tried.unionByName(more)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = components(links)
+    more = store(_apart(members.where("n > 2").select("bucket", "set_key"), labels, classes, texts), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     ids = classes.join(labels, classes.set_key == labels.node, "left").select("set_key", "id", F.coalesce("label", "set_key").alias("label"))
     low = ids.groupBy("label").agg(F.min("id").alias("low"))
     named = ids.join(low, "label").select("set_key", "low")
