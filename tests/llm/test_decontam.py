@@ -14,14 +14,14 @@ def brute(text, items):
     hit, found = set(), set()
     for i, t in items:
         b = tok(t)
-        if not b or i is None:
+        if not b:
             continue
         for k in range(max(1, len(b) - 12)):
             g = b[k:k + 13]
             for s in range(len(w) - len(g) + 1):
                 if w[s:s + len(g)] == g:
                     hit |= set(range(s, s + len(g)))
-                    found.add(str(i))
+                    found |= {str(i)} - {"None"}
     return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
 
 
@@ -76,3 +76,10 @@ def test_proximity_equals_brute_force(spark):
             for p, a, b in ((0, "w1", "w2"), (1, "the", "w3"), (2, "w1", "w1")):
                 want += [(p, k, x, y) for x, u in enumerate(w) if u == a for y, v in enumerate(w) if v == b and abs(x - y) <= within]
         assert got == sorted(want)
+
+
+def test_items_without_an_id_hit(spark):
+    docs = spark.createDataFrame([(1, "x n1 n2 n3 n4 y"), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "n1 n2 n3 n4")], "item_id long, text string")
+    out = {r.doc_id: r for r in d.contamination(docs, items).collect()}
+    assert (out[1].n_hit, out[1].n_items, out[1].contaminated, out[2].contaminated) == (4, 0, True, False)

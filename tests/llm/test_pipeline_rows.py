@@ -38,3 +38,15 @@ def test_decontaminate_by_row(spark, tmp_path):
     keep = [row(1, clean), row(None, other), row(None, None), row(5, "")]
     drop = [row(1, named), row(None, named + " tail"), row(7, unnamed), row(None, unnamed)]
     assert run(spark, "decontaminate", keep + drop, str(tmp_path)) == sorted(keep, key=str)
+
+
+def test_columns_with_clashing_names_pass_through(spark, tmp_path):
+    rng = random.Random(9)
+    names = ["_key", "_text", "_base", "_spans", "_t", "_row", "key", "n_shingles", "kept"]
+    rows = [(i, text(rng) + f" me{i}@mail.example.com", "en", 5, *(f"{c} {i}" for c in names)) for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {c} string" for c in names))
+    spark.createDataFrame([(1, text(rng, 20))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage in ("near_duplicates", "decontaminate", "personal_data"):
+        out = dict(p.STAGES)[stage](spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert sorted(tuple(r)[4:] for r in out.collect()) == sorted(r[4:] for r in rows)

@@ -39,13 +39,13 @@ def tokenized(rows: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
     return d.select(*keep, F.slice("_parts", head + 1, F.size("_parts") - head - tail).alias("words"))
 
 
-def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, unnamed: bool = False) -> DataFrame:
+def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(phrase, len, ws, items): the distinct windows of all items, with the ids (as text) of the items that have them.
 
-    ``unnamed``: items without an id have phrases too, but no place among the ids.
+    Items without an id have phrases too, but no place among the ids.
     """
     t = tokenized(items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")), "item")
-    t = t.where((F.size("words") > 0) & (F.lit(unnamed) | F.col("item").isNotNull()))
+    t = t.where(F.size("words") > 0)
     last = F.greatest(F.size("words") - window, F.lit(0))
     w = t.select("item", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("words", i + 1, F.lit(window)))).alias("ws"))
     grouped = w.groupBy("ws").agg(F.collect_set("item").alias("items"))
@@ -119,20 +119,18 @@ def proximity_matches(index: DataFrame, pairs: DataFrame, within: int) -> DataFr
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    Null, empty and wordless texts have no words and no hits, and so have wordless items; an item without
-    an id can't be named and is left out. Rows that repeat an id are judged by their own text. Other columns
-    are not read; an empty table gives no rows.
+    Null, empty and wordless texts have no words and no hits, and so have wordless items. Passages of items without
+    an id are hits like others; such items can't be named and so don't count among n_items. Rows that repeat an
+    id are judged by their own text, items that repeat an id are one item in the list. A text's words are one row's array,
+    however long. Other columns are not read; an empty table gives no rows.
     """
     return judged(docs, items, id_col, text_col, item_col).drop("key")
 
 
-def judged(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", unnamed: bool = False) -> DataFrame:
-    """``contamination`` with each row's key, ``row_key`` of its id and text.
-
-    ``unnamed``: passages of items without an id are hits; only the list of ids leaves those items out.
-    """
+def judged(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """``contamination`` with each row's key, ``row_key`` of its id and text."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).withColumn("key", row_key("_id", "text"))
-    tests = store(phrases(items, item_col, unnamed=unnamed), "phrases")
+    tests = store(phrases(items, item_col), "phrases")
     counts = store(term_counts(rows, tests.select(F.explode("ws").alias("term")).distinct()), "term-counts")
     lists = store(rarest_terms(tests, counts), "lists")
     index = store(postings(rows, lists.select(F.explode("picks.term").alias("term"))), "postings")
@@ -156,14 +154,14 @@ def contamination_sql() -> str:
     ws = rf"list_filter(regexp_split_to_array({lower}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {ws} AS ws FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {ws} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {ws} AS ws FROM benchmark),
 spot AS (SELECT item, ws, unnest(range(1, greatest(len(ws) - {WINDOW - 1}, 1) + 1)) AS i FROM b WHERE len(ws) > 0),
 win AS (SELECT DISTINCT item, least(len(ws), {WINDOW}) AS n, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS g FROM spot),
 sizes AS (SELECT DISTINCT n FROM win),
 pos AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n),
 m AS (SELECT p.rid, p.i, p.n, win.item FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM pos) p JOIN win USING (n, g)),
 h AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM m) GROUP BY rid),
-it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
+it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM m WHERE item IS NOT NULL) GROUP BY rid)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN h USING (rid) LEFT JOIN it USING (rid)"""

@@ -43,24 +43,28 @@ GENERATORS = {
 GENERATOR_NEEDS = {"at": "@"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS, SAMPLE_SPANS = 20_000, 200_000
 PRECISION = 0.95
-CELL = 256
+#: Elements of an array, and characters of a text, that are handled as one cell.
+CELL, TEXT_CELL = 256, 4096
 
 
-def _sums(sizes: Column) -> Column:
-    """Running sums of an array, in cells of 256 so that long arrays aren't copied for each element."""
-    add = lambda acc, x: F.struct((acc.at + x).alias("at"), F.array_append(acc.out, acc.at + x).alias("out"))
-    none = F.array().cast("array<int>")
-    run = lambda start, part: F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), add, lambda acc: acc.out)
-    zero = F.lit(0)
-    cells = F.transform(F.sequence(zero, F.floor((F.size(sizes) - 1) / CELL).cast("int")), lambda k: F.slice(sizes, k * CELL + 1, F.lit(CELL)))
-    totals = run(zero, F.transform(cells, lambda c: F.aggregate(c, zero, lambda a, x: a + x)))
-    return F.flatten(F.transform(cells, lambda c, k: run(F.when(k == 0, zero).otherwise(F.get(totals, k - 1)), c)))
+def _scan(name: str, op: Callable[[Column, Column], Column], zero: int) -> Column:
+    """Running totals of a column of integers under ``op``, in cells of 256 so that long arrays aren't copied for each element.
+
+    The column must exist by name: an expression in its place would be evaluated once for each cell.
+    """
+    values, none, zero = F.col(name), F.array().cast("array<int>"), F.lit(zero)
+    step = lambda acc, x: F.struct(op(acc.at, x).alias("at"), F.array_append(acc.out, op(acc.at, x)).alias("out"))
+    run = lambda start, part: F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), step, lambda acc: acc.out)
+    cells = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CELL).cast("int")), lambda k: F.slice(values, k * CELL + 1, F.lit(CELL)))
+    before = F.concat(F.array(zero), run(zero, F.transform(cells, lambda c: F.aggregate(c, zero, op))))
+    each = F.filter(F.arrays_zip(cells.alias("cell"), before.alias("start")), lambda z: z["cell"].isNotNull())
+    return F.when(F.size(values) > 0, F.flatten(F.transform(each, lambda z: run(z["start"], z["cell"])))).otherwise(none)
 
 
 def _found(text: Column, pattern: str, needs: str | None) -> Column:
-    """(start, end, value, left, after) of every match in code points, with up to 24 and 4 characters around it."""
+    """The matches and the pieces between them; null where there are none."""
     m = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     p = F.split(text, pattern, -1)
     if needs:
@@ -68,10 +72,16 @@ def _found(text: Column, pattern: str, needs: str | None) -> Column:
     return F.when(F.size(m) > 0, F.struct(m.alias("m"), p.alias("p")))
 
 
-def _placed(found: Column) -> Column:
+def _sizes(found: Column) -> Column:
+    """From the end of one match to the end of the next, in code points."""
     m, p = found["m"], found["p"]
-    ends = _sums(F.transform(m, lambda x, i: F.length(x) + F.length(F.get(p, i))))
-    rows = F.transform(F.arrays_zip(m.alias("value"), ends.alias("end")), lambda z, i: F.struct(
+    return F.coalesce(F.transform(m, lambda x, i: F.length(x) + F.length(F.get(p, i))), F.array().cast("array<int>"))
+
+
+def _placed(found: Column, sizes: str) -> Column:
+    """(start, end, value, left, after) of every match in code points, with up to 24 and 4 characters around it."""
+    m, p = found["m"], found["p"]
+    rows = F.transform(F.arrays_zip(m.alias("value"), _scan(sizes, lambda a, x: a + x, 0).alias("end")), lambda z, i: F.struct(
         (z["end"] - F.length(z["value"])).alias("start"), z["end"].alias("end"), z["value"].alias("value"),
         F.right(F.get(p, i), F.lit(24)).alias("left"), F.left(F.get(p, i + 1), F.lit(4)).alias("after")))
     return F.coalesce(F.when(found.isNotNull(), rows), F.array().cast("array<struct<start:int,end:int,value:string,left:string,after:string>>"))
@@ -99,7 +109,8 @@ CHECKS: dict[str, Callable[[Column], Column]] = {
 def _with_matches(docs: DataFrame, patterns: dict, needs: dict, prefix: str) -> DataFrame:
     """Adds one array column of placed matches for each pattern; matches are taken once, in a step of their own."""
     found = docs.withColumns({f"_{prefix}{k}": _found(F.col("_text"), p, needs.get(k)) for k, p in patterns.items()})
-    return found.withColumns({f"_{prefix}{k}": _placed(F.col(f"_{prefix}{k}")) for k in patterns})
+    sized = found.withColumns({f"_n_{prefix}{k}": _sizes(F.col(f"_{prefix}{k}")) for k in patterns})
+    return sized.withColumns({f"_{prefix}{k}": _placed(F.col(f"_{prefix}{k}"), f"_n_{prefix}{k}") for k in patterns}).drop(*(f"_n_{prefix}{k}" for k in patterns))
 
 
 #: Format and context of a candidate; its generator's number comes before them.
@@ -145,8 +156,37 @@ def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return d.withColumn("_base", F.array_sort(F.concat(*parts))).drop(*(f"_m_{k}" for k in PATTERNS))
 
 
-def _overlaps(x: Column, base: Column) -> Column:
-    return F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+#: Below every position and its negative.
+_LEAST = -(2**31) + 1
+
+
+def _with_met(df: DataFrame, own: tuple, base: tuple, order: tuple[int, int]) -> DataFrame:
+    """Adds ``_proposed`` zipped with ``met``: the largest base value at or before each candidate's place.
+
+    ``own`` gives a candidate's place; ``base`` a base span's place and value; ``order`` says which comes first at one
+    place. One sort of both sides and one running maximum, whatever their number.
+    """
+    row = lambda at, rank, v, i: F.struct(at.cast("int").alias("at"), F.lit(rank).alias("rank"), v.cast("int").alias("v"), i.cast("int").alias("i"))
+    events = F.concat(F.transform("_base", lambda b: row(base[0](b), order[1], base[1](b), F.lit(-1))),
+                      F.transform("_proposed", lambda x, i: row(own(x), order[0], F.lit(_LEAST), i)))
+    d = df.withColumn("_events", F.sort_array(events))
+    d = d.withColumn("_values", F.transform("_events", lambda e: e["v"]))
+    d = d.withColumn("_met", F.arrays_zip(F.col("_events").alias("e"), _scan("_values", lambda a, v: F.greatest(a, v), _LEAST).alias("met")))
+    mine = F.sort_array(F.transform(F.filter("_met", lambda z: z["e"]["i"] >= 0), lambda z: F.struct(z["e"]["i"].alias("i"), z["met"].alias("met"))))
+    zipped = F.arrays_zip(F.col("_proposed").alias("x"), F.transform(mine, lambda z: z["met"]).alias("met"))
+    return d.withColumn("_proposed", zipped).drop("_events", "_values", "_met")
+
+
+def with_free(marked: DataFrame) -> DataFrame:
+    """Leaves in ``_proposed`` only the candidates that no certain span overlaps: none begins before their end and ends after their start."""
+    d = _with_met(marked, lambda x: x["end"], (lambda b: b["start"], lambda b: b["end"]), (0, 1))
+    return d.withColumn("_proposed", F.transform(F.filter("_proposed", lambda z: z["met"] <= z["x"]["start"]), lambda z: z["x"]))
+
+
+def with_labels(marked: DataFrame) -> DataFrame:
+    """Makes ``_proposed`` (x, label): 1 if the candidate holds a certain span, the first that begins at or after its start to end."""
+    d = _with_met(marked, lambda x: -x["start"], (lambda b: -b["start"], lambda b: -b["end"]), (1, 0))
+    return d.withColumn("_proposed", F.transform("_proposed", lambda z: F.struct(z["x"].alias("x"), (z["met"] >= -z["x"]["end"]).cast("double").alias("label"))))
 
 
 def with_candidates(marked: DataFrame) -> DataFrame:
@@ -186,22 +226,24 @@ def score_sql(model: Trees) -> str:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION,
-        trees: int = 6, depth: int = 3) -> Trees | None:
-    """Trees from the candidates of at most ``sample_docs`` documents, chosen by the hash of their id.
+        trees: int = 6, depth: int = 3, sample_spans: int = SAMPLE_SPANS) -> Trees | None:
+    """Trees from at most ``sample_spans`` candidates of at most ``sample_docs`` documents, both chosen by hashes.
 
-    A candidate's label is 1 if it holds a certain format. Half the candidates fit the trees, the others set each
-    generator's threshold: the least at which ``precision`` of the candidates above hold one; a generator that
-    never reaches it adds nothing. None where the sample lacks candidates of either label.
+    Documents of equal id and text are one. A candidate's label is 1 if it holds a certain format. Half the candidates fit the
+    trees, the others set each generator's threshold: the least at which ``precision`` of the candidates above hold
+    one; a generator that never reaches it adds nothing. None where the sample lacks candidates of either label.
     """
-    ids = docs.select(F.col(id_col).alias("_pick")).where("_pick IS NOT NULL").orderBy(F.xxhash64("_pick"), "_pick").limit(sample_docs).distinct()
-    # at most sample_docs ids are broadcast
-    rows = docs.select(F.col(id_col).alias("_pick"), F.col(text_col).alias("_t")).join(F.broadcast(ids), "_pick")
-    marked = with_candidates(with_base(rows, "_t"))
+    rows = docs.select(F.col(text_col).cast("string").alias("_t"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_pick"))
+    last = rows.select("_pick").distinct().orderBy("_pick").limit(sample_docs).agg(F.max("_pick")).first()[0]
+    if last is None:
+        return None
+    # the patterns run on the bounded sample in as many tasks as the scan has
+    picked = rows.where(F.col("_pick") <= F.lit(last)).dropDuplicates(["_pick"]).repartition(max(docs.rdd.getNumPartitions(), 1))
+    marked = with_labels(with_candidates(with_base(picked, "_t")))
     # the outer form: else the optimizer repeats the whole expression in a filter for empty arrays
-    each = marked.select("_base", F.explode_outer("_proposed").alias("x")).where("x IS NOT NULL")
-    inside = F.exists("_base", lambda b: (F.col("x.start") <= b["start"]) & (b["end"] <= F.col("x.end")))
-    # the scan and the patterns run in all tasks; only the bounded sample is read into one, in an order of its own
-    sample = store(each.select("x.f", inside.cast("double").alias("label"), F.col("x.generator").alias("g"), F.col("x.h").alias("h")), "sample")
+    each = marked.select(F.explode_outer("_proposed").alias("z")).where("z IS NOT NULL")
+    sample = store(each.select("z.x.f", "z.label", F.col("z.x.generator").alias("g"), F.col("z.x.h").alias("h")), "sample")
+    sample = sample.orderBy("h", "g", "label", "f").limit(sample_spans)
     table = sample.coalesce(1).sortWithinPartitions("h", "g", "label", "f").select(
         array_to_vector("f").alias("features"), "label", "g", (F.pmod(F.col("h"), F.lit(2)) == 0).alias("held")).persist()
     try:
@@ -231,9 +273,8 @@ def with_spans(docs: DataFrame, model: Trees | None, text_col: str = "text") ->
     marked = with_base(docs, text_col)
     if model is None or min(model.thresholds) > 1:
         return marked.withColumn("_spans", F.col("_base"))
-    marked = with_candidates(marked)
+    free = with_free(with_candidates(marked))
     limits = ", ".join(f"{t!r}D" for t in model.thresholds)
-    free = marked.withColumn("_proposed", F.filter("_proposed", lambda x: ~_overlaps(x, F.col("_base"))))
     chosen = F.expr(f"filter(_proposed, x -> {score_sql(model)} >= array({limits})[x.generator])")
     added = F.transform(chosen, lambda x: F.struct(x["start"].alias("start"), F.lit(len(PATTERNS)).alias("kind"), x["end"].alias("end")))
     return free.withColumn("_spans", F.array_sort(F.concat("_base", F.array_distinct(added)))).drop("_proposed")
@@ -248,7 +289,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per document: id, n_email, n_ip, n_card, n_phone, base_sha256, n_likely, spans.
 
     Null and empty texts have no spans; repeated rows repeat; an empty table gives no rows; other columns
-    are not read.
+    are not read. A long text's spans are sorted and merged in its row, in time n log n in their number.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     d = with_spans(rows, fit(rows, "_id", "_t"), "_t")
@@ -259,16 +300,23 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def redact(docs: DataFrame, model: Trees | None, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; overlapping spans go as one, by the first."""
-    columns = docs.columns
-    d = with_spans(docs, model, text_col)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    d = with_spans(docs.select(whole.alias("_row"), F.col(text_col).alias("_t")), model, "_t")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        gap = F.substr(F.col("_text"), acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        mark = F.when(x["start"] >= acc["at"], F.get(names, x["kind"])).otherwise("")
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], gap, mark).alias("out"))
-
-    done = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("_text"), acc["at"] + 1)))
-    new = F.when(F.size("_spans") > 0, done).otherwise(F.col(text_col))
-    return d.withColumn(text_col, new).select(*columns)
+    # the text in cells, so that a gap between spans is cut without a walk from the text's start
+    cut = F.transform(F.sequence(F.lit(0), F.floor(F.length("_text") / TEXT_CELL).cast("int")), lambda k: F.substr(F.col("_text"), k * TEXT_CELL + 1, F.lit(TEXT_CELL)))
+    d = d.withColumns({"_cells": cut, "_ends": F.transform("_spans", lambda x: x["end"])})
+
+    def gap(start, end):
+        first, last = ((c / TEXT_CELL).cast("int") for c in (start, end))
+        head, tail = F.get(F.col("_cells"), first), F.get(F.col("_cells"), last)
+        at, to = start - first * TEXT_CELL, end - last * TEXT_CELL
+        between = F.array_join(F.slice(F.col("_cells"), first + 2, last - first - 1), "")
+        return F.when(first == last, F.substr(head, at + 1, F.greatest(to - at, F.lit(0)))).otherwise(F.concat(F.substr(head, at + 1), between, F.substr(tail, F.lit(1), to)))
+
+    before = F.concat(F.array(F.lit(0)), _scan("_ends", lambda a, x: F.greatest(a, x), 0))
+    parts = F.transform(F.arrays_zip(F.col("_spans").alias("x"), before.alias("at")), lambda z: F.when(z["x"].isNull(), gap(z["at"], F.length("_text"))).when(
+        z["x"]["start"] >= z["at"], F.concat(gap(z["at"], z["x"]["start"]), F.get(names, z["x"]["kind"]))).otherwise(""))
+    done = F.array_join(parts, "")
+    new = F.when(F.size("_spans") > 0, done).otherwise(F.col("_t"))
+    return d.select(*((new if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns))

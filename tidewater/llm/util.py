@@ -30,6 +30,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, by adding underscores."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``store`` wrote and nothing will read again, and let Spark clean up after their jobs.
 
