@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontam, odd_sketch, pii, zstd_quality
-from tidewater.llm.util import row_key, store, table
+from tidewater.llm.util import row_key, store, table, unused
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,17 +31,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), _key().alias("key"))
     judged = store(odd_sketch.near_duplicates(docs.select(row.alias("row"), "text"), "row").select("row.key", "n_shingles", "kept"), "judged")
-    keyed = docs.withColumn("_key", _key()).join(judged.where("NOT kept").select(F.col("key").alias("_key")).distinct(), "_key", "left_anti")
-    copies = judged.where("kept AND n_shingles > 0").groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key")
-    single = keyed.join(copies, "_key", "left_anti")
-    one = keyed.join(copies, "_key", "left_semi").dropDuplicates(["_key"])
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, _key()).join(judged.where("NOT kept").select(F.col("key").alias(key)).distinct(), key, "left_anti")
+    copies = judged.where("kept AND n_shingles > 0").groupBy(F.col("key").alias(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    single = keyed.join(copies, key, "left_anti")
+    one = keyed.join(copies, key, "left_semi").dropDuplicates([key])
     return single.unionByName(one).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows that aren't contaminated by the benchmark, whose items count with or without an id."""
-    bad = decontam.judged(docs, table(spark, sf_dir, "benchmark"), unnamed=True).where("contaminated")
-    return docs.withColumn("_key", _key()).join(bad.select(F.col("key").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+    bad = decontam.judged(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    key = unused(docs, "row_key")
+    return docs.withColumn(key, _key()).join(bad.select(F.col("key").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
