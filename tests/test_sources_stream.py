@@ -1,6 +1,7 @@
 """Record files and streaming: round trips through files written by the tests themselves."""
 
 import os
+import random
 import tempfile
 
 from pyspark.sql import functions as F
@@ -54,3 +55,28 @@ def test_stream_upsert_equals_batch(spark):
     keyed.run_to_end(q)
     out = {r["k"]: r["v"] for r in keyed.latest_state(spark, os.path.join(base, "state")).collect()}
     assert out == {1: "c", 2: "b", 3: "d"}
+
+
+def test_id_blocks_of_large_files_are_read_by_many_tasks(spark):
+    d = tempfile.mkdtemp(prefix="tw-blocks-")
+    rng = random.Random(3)
+    texts = []
+    for f in range(2):
+        head = "preamble " * 3000 if f else ""  # one file begins with its marker
+        blocks = [f" {f}-{i}\nDisruption event: e{rng.randint(0, 99)}\nPort Affected: p{i}\nDate: d\nText: {'é w ' * rng.randint(0, 400)}\n\n" for i in range(900)]
+        texts.append(head + "".join("id:" + b for b in blocks))
+        write(d, f"{f}.txt", texts[-1])
+    want = sorted(p for t in texts for p in t.split("id:")[1:])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        pieces = records.marked_pieces(spark, d, "id:")
+        assert pieces.rdd.getNumPartitions() > 8
+        got = pieces.collect()
+        n = records.scan_id_blocks(spark, d).select("_id").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(r.piece for r in got) == want and n == 1800
+    for f, text in enumerate(texts):
+        mine = sorted((r.start, r.pos, r.piece) for r in got if r.file.endswith(f"{f}.txt"))
+        assert [p for _, _, p in mine] == text.split("id:")[1:]

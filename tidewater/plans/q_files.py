@@ -34,7 +34,7 @@ def q_scan_id_blocks(spark, sf_dir):
     blocks = d.select(F.concat(F.lit("id: "), F.col("doc_id").cast("string"), F.lit("\nDisruption event: event "),
                                F.col("doc_id").cast("string"), F.lit("\nPort Affected: "), F.col("source"),
                                F.lit("\nDate: "), F.col("lang"), text_field(), F.lit("\n\n")).alias("value"))
-    blocks.repartition(4).write.mode("overwrite").text(path)
+    blocks.write.mode("overwrite").text(path)
     return records.scan_id_blocks(spark, path).select("_id", "event", "port_affected", "date")
 
 

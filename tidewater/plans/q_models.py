@@ -247,18 +247,18 @@ def _seed_catalogue_text() -> str:
 
 
 @query("render_prompt", sql=f"""
-SELECT _id, 'Given the following text:' || chr(10) || headline || chr(10) || chr(10) ||
+SELECT _id, 'Given the following text:' || chr(10) || description || chr(10) || chr(10) ||
        'These are the maritime risk categories and their descriptions:' || chr(10) ||
        '{_seed_catalogue_text().replace(chr(9), "' || chr(9) || '").replace(chr(10), "' || chr(10) || '")}' ||
        chr(10) || 'Reply with the final risk classification only.' AS prompt
 FROM ({ARTICLES_SQL}) WHERE main_risk = '' AND coalesce(is_unique, false)
 """)
 def q_render_prompt(spark, sf_dir):
-    """Classification prompts for every pending article, catalogue rendered as sorted bullets."""
+    """Classification prompts with the whole text of every pending article, catalogue rendered as sorted bullets."""
     a = articles(spark, sf_dir)
     from tidewater.operators import filters as _f
     p = _f.pending_category(a).select(
-        "_id", scoring.category_prompt(F.col("headline"), scoring.catalogue_literal(seed_catalogue(spark)))
+        "_id", scoring.category_prompt(F.col("description"), scoring.catalogue_literal(seed_catalogue(spark)))
         .alias("prompt"))
     return p
 

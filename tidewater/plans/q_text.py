@@ -127,32 +127,40 @@ def _candidates_sql(w: str) -> str:
     return "[" + ", ".join(parts) + "]"
 
 
-PREPROCESS_SQL = f"""
-WITH lex AS (SELECT DISTINCT lower(w) AS surface FROM benchmark,
+def _preprocess_ctes(texts: str) -> str:
+    """CTEs over ``texts`` (key, text): ``pre`` has the text of each key without stop words and with lemmas."""
+    return f"""lex AS (SELECT DISTINCT lower(w) AS surface FROM benchmark,
              unnest(regexp_extract_all(text, '\\p{{L}}+')) AS t(w)),
-toks AS (SELECT doc_id, list_filter({s_split_words('text')}, lambda w: NOT list_contains({s_list(STOP)}, lower(w))) AS tk
-         FROM documents),
-occ AS (SELECT doc_id, generate_subscripts(tk, 1) AS pos, unnest(tk) AS tok FROM toks),
-cand AS (SELECT doc_id, pos, tok, generate_subscripts(c, 1) AS ci, unnest(c) AS form
+toks AS (SELECT key, list_filter({s_split_words('text')}, lambda w: NOT list_contains({s_list(STOP)}, lower(w))) AS tk
+         FROM {texts}),
+occ AS (SELECT key, generate_subscripts(tk, 1) AS pos, unnest(tk) AS tok FROM toks),
+cand AS (SELECT key, pos, tok, generate_subscripts(c, 1) AS ci, unnest(c) AS form
          FROM (SELECT *, {_candidates_sql('tok')} AS c FROM occ)),
-best AS (SELECT doc_id, pos, tok,
+best AS (SELECT key, pos, tok,
                 arg_min(lex.surface, (length(lex.surface), ci)) FILTER (WHERE lex.surface IS NOT NULL) AS lemma
-         FROM cand LEFT JOIN lex ON cand.form = lex.surface GROUP BY doc_id, pos, tok)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.pre, '') END AS preprocessed
-FROM documents d LEFT JOIN (
-  SELECT doc_id, string_agg(coalesce(lemma, tok), ' ' ORDER BY pos) AS pre FROM best GROUP BY doc_id) r
-ON d.doc_id = r.doc_id
+         FROM cand LEFT JOIN lex ON cand.form = lex.surface GROUP BY key, pos, tok),
+joined AS (SELECT key, string_agg(coalesce(lemma, tok), ' ' ORDER BY pos) AS pre FROM best GROUP BY key),
+pre AS (SELECT t.key, CASE WHEN t.text IS NOT NULL THEN coalesce(j.pre, '') END AS pre FROM {texts} t LEFT JOIN joined j ON t.key = j.key)"""
+
+
+PREPROCESS_SQL = f"""
+WITH texts AS (SELECT doc_id AS key, text FROM documents), {_preprocess_ctes('texts')}
+SELECT key AS doc_id, pre AS preprocessed FROM pre
 """
 
 
+def benchmark_lexicon(spark, sf_dir):
+    """The words of the benchmark in lower case, each its own lemma."""
+    return lexicon_from_words(scan_table(spark, sf_dir, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"\p{L}+"), 0)).alias("w"))
+        .select(F.lower("w").alias("word")))
+
+
 @query("preprocess_words", sql=PREPROCESS_SQL)
 def q_preprocess_words(spark, sf_dir):
     """T6 = T4 + T5: stop words dropped, tokens lemmatised against a lexicon of benchmark words."""
-    lex = lexicon_from_words(scan_table(spark, sf_dir, "benchmark").select(
-        F.explode(F.regexp_extract_all(F.col("text"), F.lit(r"\p{L}+"), 0)).alias("w"))
-        .select(F.lower("w").alias("word")))
     d = docs(spark, sf_dir).select("doc_id", "text")
-    return preprocess_words(d, "doc_id", "text", STOP, lex, "preprocessed").select("doc_id", "preprocessed")
+    return preprocess_words(d, "doc_id", "text", STOP, benchmark_lexicon(spark, sf_dir), "preprocessed").select("doc_id", "preprocessed")
 
 
 # ---------------------------------------------------------------- T8 / T9
@@ -161,7 +169,7 @@ SELECT conv_id, turn, coalesce(replace(text, chr(10), ' '), '') || ' ' || coales
 FROM conversations
 """)
 def q_combine_text(spark, sf_dir):
-    """First line of each turn + ' ' + role."""
+    """Whole text of each turn + ' ' + role."""
     c = scan_table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn",
                     T.combine_text(F.translate("text", "\n", " "), F.col("role")).alias("combined"))
@@ -172,7 +180,7 @@ SELECT doc_id, CASE WHEN regexp_matches(h, '{T.PLACEHOLDER_PATTERN}') THEN NULL
 FROM (SELECT doc_id, replace(text, chr(10), ' ') AS h FROM documents)
 """)
 def q_null_out_placeholders(spark, sf_dir):
-    """T9 on every document's first line."""
+    """T9 on every document's whole text."""
     d = docs(spark, sf_dir).select("doc_id", F.translate("text", "\n", " ").alias("h"))
     return d.select("doc_id", T.null_out_placeholders("h").alias("port"))
 
@@ -449,17 +457,15 @@ def q_drop_incomplete(spark, sf_dir):
 # ---------------------------------------------------------------- T7 / T18
 
 
-def s_drop_stop(x: str) -> str:
-    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_filter({s_split_words(x)}, "
-            f"lambda w: NOT list_contains({s_list(STOP)}, lower(w))), ' ') END")
-
-
 @query("preprocess_article", sql=f"""
-SELECT _id, {s_drop_stop(s_trim_boilerplate('link', 'description', T.GCAPTAIN_MARKERS))} AS description,
-       {s_drop_stop('headline')} AS headline
-FROM ({ARTICLES_SQL})
+WITH a AS ({ARTICLES_SQL}),
+texts AS (SELECT _id || ' d' AS key, {s_trim_boilerplate('link', 'description', T.GCAPTAIN_MARKERS)} AS text FROM a
+          UNION ALL SELECT _id || ' h', headline FROM a),
+{_preprocess_ctes('texts')}
+SELECT a._id, d.pre AS description, h.pre AS headline
+FROM a JOIN pre d ON d.key = a._id || ' d' JOIN pre h ON h.key = a._id || ' h'
 """)
 def q_preprocess_article(spark, sf_dir):
-    """Boilerplate trim + stop words on the description, stop words on the headline."""
+    """Boilerplate trim, stop words and lemmas on the description, stop words and lemmas on the headline."""
     a = articles(spark, sf_dir).select("_id", "link", "description", "headline")
-    return preprocess_article(a, "_id", STOP, None).select("_id", "description", "headline")
+    return preprocess_article(a, "_id", STOP, benchmark_lexicon(spark, sf_dir)).select("_id", "description", "headline")

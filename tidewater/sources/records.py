@@ -2,13 +2,17 @@
 
 Line- and separator-based formats are read with Spark's splittable text
 reader (custom ``lineSep``), so a large file is spread over many tasks.
-Formats whose records start at an arbitrary marker (``id:`` blocks, numbered
-sections whose first piece must be dropped) are read one file per row
-(``wholetext``); those files are model-answer exports of modest size.
+``id:`` blocks are split at their marker in the same way; what a file holds
+before its first marker is the first piece of the split at offset 0.
+Numbered sections, whose marker varies, are read one file per row (``wholetext``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +31,33 @@ def scan_blank_line_records(spark: SparkSession, folder: str, glob: str = "*.txt
     return d.select("file", "record", T.last_wins_map("_kv").alias("kv"))
 
 
+def marked_pieces(spark: SparkSession, path: str, marker: str) -> DataFrame:
+    """The pieces between markers, without what stands before a file's first one: (file, start, pos, piece).
+
+    A large file is read by many tasks. ``start`` is the byte at which a task's part of the file begins and ``pos``
+    the piece's place in it (from 1 in the file's first part), so (start, pos) is the order in the file.
+    """
+    d = spark.read.option("lineSep", marker).text(path)
+    d = d.select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("piece"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0
+        for batch in batches:
+            part = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            pos = np.empty(len(part), np.int64)
+            for i, own in enumerate(part):
+                seen = seen + 1 if own == last else 0
+                pos[i], last = seen, own
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pos), batch.column(2)], ["file", "start", "pos", "piece"])
+
+    return d.mapInArrow(place, "file string, start long, pos long, piece string").where("start > 0 OR pos > 0")
+
+
 def scan_id_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """S5 (+T12, F10): split each file on the literal 'id:', drop the first piece, parse the fields."""
-    d = spark.read.text(path, wholetext=True)
-    pieces = d.select(F.input_file_name().alias("file"),
-                      F.posexplode(F.split(F.col("value"), "id:")).alias("pos", "block")).where("pos >= 1")
-    ok = pieces.where(T.block_is_complete(F.col("block")))
-    return ok.select("file", "pos", *T.extract_block_fields(F.col("block")))
+    """S5 (+T12, F10): split each file on the literal 'id:', drop the first piece, parse the fields; large files by many tasks."""
+    pieces = marked_pieces(spark, path, "id:")
+    ok = pieces.where(T.block_is_complete(F.col("piece")))
+    return ok.select("file", "start", "pos", *T.extract_block_fields(F.col("piece")))
 
 
 def scan_numbered_sections(spark: SparkSession, path: str) -> DataFrame:
