@@ -53,7 +53,7 @@ def test_stream_upsert_equals_batch(spark):
     q = keyed.stream_upsert(spark, os.path.join(src, "*"), schema, os.path.join(base, "state"),
                             os.path.join(base, "ckpt"), "k", ["ts"], max_files_per_trigger=1)
     keyed.run_to_end(q)
-    out = {r["k"]: r["v"] for r in keyed.latest_state(spark, os.path.join(base, "state")).collect()}
+    out = {r["k"]: r["v"] for r in keyed.upsert_state(spark, os.path.join(base, "state"), schema, "k").read().collect()}
     assert out == {1: "c", 2: "b", 3: "d"}
 
 

@@ -21,10 +21,19 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     ``max_by`` is a partial aggregation, so a key that holds a third of the
     batch is reduced on the map side before the shuffle.
     """
+    return _one_per_key(df, key, order, F.max_by)
+
+
+def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """First write wins inside one batch: the row with the smallest ``order`` per key, as partial an aggregation as the other."""
+    return _one_per_key(df, key, order, F.min_by)
+
+
+def _one_per_key(df: DataFrame, key: str, order: Sequence[str], pick) -> DataFrame:
     others = [c for c in df.columns if c != key]
     rec = F.struct(*[F.col(c) for c in others])
     ordering = F.struct(*[F.col(c) for c in order])
-    agg = df.groupBy(key).agg(F.max_by(rec, ordering).alias("_r"))
+    agg = df.groupBy(key).agg(pick(rec, ordering).alias("_r"))
     return agg.select(key, *[F.col("_r")[c].alias(c) for c in others])
 
 
