@@ -87,7 +87,7 @@ def test_late_rows_and_forgotten_keys_under_a_watermark(spark):
     kind = "k long, at timestamp, v string"
     schema = spark.createDataFrame([], kind).schema
     batches = [[(1, at(0), "a"), (2, at(30), "b")], [(1, at(20), "again"), (3, at(100), "c"), (4, None, "no time")],
-               [(5, at(10), "late"), (1, at(50), "still known"), (3, at(110), "again")], [(6, at(300), "d")], [(7, at(305), "e")], [(1, at(310), "forgotten, so new")]]
+               [(1, at(50), "still known"), (3, at(110), "again")], [(6, at(300), "d"), (5, at(10), "late")], [(7, at(305), "e")], [(1, at(310), "forgotten, so new")]]
     for i, b in enumerate(batches):
         feed(spark, src, i, b, kind)
     keyed.run_to_end(keyed.stream_first(spark, os.path.join(src, "*"), schema, sink, os.path.join(base, "ckpt"), ["k"], "at", "60 minutes", max_files_per_trigger=1))
