@@ -75,8 +75,8 @@ def stream_first(spark: SparkSession, source: str, schema, sink: str, checkpoint
     """ST1, first wins with bounded state: the first record of a key goes to the Parquet folder ``sink``; returns the query.
 
     Later records of the key are dropped at least as long as their event times lie within ``delay`` of it. The watermark is the
-    greatest event time of earlier batches less ``delay``: records before it are late and dropped, keys before it are
-    forgotten when a batch ends, so the state holds the keys of one ``delay``. Which of a key's records in one batch comes first is
+    greatest event time of earlier batches less ``delay``. Keys before it are forgotten when a batch ends, so the state holds
+    the keys of about one ``delay``; records before the watermark of the batch before are late and dropped. Which of a key's records in one batch comes first is
     Spark's choice; records that must be told apart by an order belong in ``stream_upsert(wins="first")``. Records
     without an event time stay out.
     """
