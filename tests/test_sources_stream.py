@@ -80,3 +80,26 @@ def test_id_blocks_of_large_files_are_read_by_many_tasks(spark):
     for f, text in enumerate(texts):
         mine = sorted((r.start, r.pos, r.piece) for r in got if r.file.endswith(f"{f}.txt"))
         assert [p for _, _, p in mine] == text.split("id:")[1:]
+
+
+def test_blank_line_records_over_line_ends_and_parts(spark):
+    d = tempfile.mkdtemp(prefix="tw-recs-")
+    rng = random.Random(5)
+    want = []
+    for f, end in enumerate(["\n", "\r\n", None]):
+        recs = [[f"k{i}: {'é x ' * rng.choice([0, 3, 200])}v", *(["more"] * rng.randint(0, 3))] for i in range(400)]
+        recs[7] = [f"long {i} " + "y" * 500 for i in range(2000)]  # spans many parts
+        want += ["\n".join(r) for r in recs]
+        eol = lambda: end or rng.choice(["\n", "\r\n"])
+        body = "".join("".join(line + eol() for line in r) + eol() * rng.randint(1, 3) for r in recs)
+        with open(os.path.join(d, f"{f}.txt"), "w", encoding="utf-8", newline="") as out:
+            out.write(eol() * (f % 2) + body.rstrip("\r\n") + (eol() if f else ""))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        read = records.blank_line_records(spark, d)
+        got = sorted(r.record for r in read.collect())
+        parts = spark.read.text(d).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert parts > 30 and got == sorted(want)

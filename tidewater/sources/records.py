@@ -13,21 +13,68 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
 
 
+def blank_line_records(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
+    """The records between blank lines, for LF, CRLF and mixed files: (file, record), line ends as "\\n".
+
+    Several blank lines separate like one, so no record is empty. A large file is read by many tasks: records within a task's
+    part of the file are whole at once; what lies before its first and after its last blank line are pieces, at most two a part, that
+    are put together in file order. A record may span any number of parts.
+    """
+    d = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(folder)
+    d = d.select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, lines, blank = None, [], False  # blank: this part has had a blank line
+
+        def record(closed: bool):
+            """What has been read since the last blank line: side null is a whole record, 0 a part's head, 1 its tail."""
+            side = 1 if blank and not closed else None if blank else 0
+            return (*part, side, "\n".join(lines)) if lines or side == 1 else None
+
+        for batch in batches:
+            out = []
+            for file, start, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if (file, start) != part:
+                    if part:
+                        out.append(record(False))
+                    part, lines, blank = (file, start), [], False
+                line = line.removesuffix("\r")
+                if line:
+                    lines.append(line)
+                else:
+                    out.append(record(True))
+                    lines, blank = [], True
+            yield _record_batch(out)
+        if part:
+            yield _record_batch([record(False)])
+
+    cuts = d.mapInArrow(cut, "file string, start long, side int, record string")
+    order = Window.partitionBy("file").orderBy("start", "side")
+    pieces = cuts.where("side IS NOT NULL").withColumn("n", F.sum("side").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.array_sort(F.collect_list(F.struct("start", "side", "record")))
+    text = F.array_join(F.filter(F.transform(parts, lambda p: p["record"]), lambda r: r != ""), "\n")
+    joined = pieces.groupBy("file", "n").agg(text.alias("record")).where("record <> ''")
+    return cuts.where("side IS NULL").select("file", "record").unionByName(joined.select("file", "record"))
+
+
+def _record_batch(rows: list) -> pa.RecordBatch:
+    columns = list(zip(*(r for r in rows if r))) or [()] * 4
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "start", "side", "record"])
+
+
 def scan_blank_line_records(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """Every matching file in a folder; records separated by a blank line -> (file, record, kv map).
+    """Every matching file in a folder; records separated by a blank line, LF or CRLF -> (file, record, kv map).
 
-    Invalid UTF-8 bytes are replaced by the reader. CRLF files are not split by
-    "\\n\\n"; normalise them first if they occur.
+    Invalid UTF-8 bytes are replaced by the reader.
     """
-    d = spark.read.option("lineSep", "\n\n").option("pathGlobFilter", glob).text(folder)
-    d = d.select(F.input_file_name().alias("file"), F.col("value").alias("record"))
-    d = d.withColumn("_kv", T.key_value_entries(F.col("record")))
+    d = blank_line_records(spark, folder, glob).withColumn("_kv", T.key_value_entries(F.col("record")))
     return d.select("file", "record", T.last_wins_map("_kv").alias("kv"))
 
 
