@@ -75,9 +75,12 @@ def conform(df: DataFrame, fields: Sequence[str], default: Column | str | None =
 
 
 def append_rows(table: DataFrame | None, rows: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """K2: append without a key check; missing fields default to ''."""
+    """K2: append without a key check; the new rows' missing or null ``fields`` default to ''.
+
+    Rows already in the table are left as they are; columns that only the table has are null in the new rows.
+    """
     new = conform(rows, fields)
-    return new if table is None else table.unionByName(conform(table, fields))
+    return new if table is None else table.unionByName(new, allowMissingColumns=True)
 
 
 def update_fields_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:

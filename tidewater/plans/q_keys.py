@@ -189,6 +189,18 @@ def q_append_rows(spark, sf_dir):
     return upsert.append_rows(None, b, ARTICLE_FIELDS)
 
 
+@query("append_to_articles", sql=f"""
+SELECT _id, headline, link, severity FROM ({ARTICLES_SQL})
+UNION ALL
+SELECT CAST(item_id AS VARCHAR), text, '', '' FROM benchmark
+""")
+def q_append_to_articles(spark, sf_dir):
+    """K2: benchmark items appended to the articles, whose rows stay as they are."""
+    b = scan_table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("_id"), F.col("text").alias("headline"))
+    a = articles(spark, sf_dir).select("_id", "headline", "link", "severity")
+    return upsert.append_rows(a, b, ["_id", "headline", "link", "severity"])
+
+
 # ------------------------------------------------------------------ S1, F8, J8, A10, D5, D6, T7, T18
 
 
