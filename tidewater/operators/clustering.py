@@ -3,13 +3,16 @@
 Fits are MLlib KMeans jobs (distributed); the sweep's per-k metrics form a
 frame of at most a few dozen rows, the only thing collected to the driver.
 Silhouette: ``silhouette_exact`` is the mean Euclidean silhouette (the
-reference library's definition) computed over bounded block pairs;
-``silhouette_sq`` is MLlib's ClusteringEvaluator (squared Euclidean, linear time).
+reference library's definition) computed over bounded block pairs, quadratic in the rows;
+``silhouette_estimate`` is the same mean over a sample of rows, each held against all rows, with a
+confidence bound, linear in the rows; ``silhouette_sq`` is MLlib's ClusteringEvaluator (squared Euclidean, linear time).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,13 +23,16 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.report import sample_rows
+from tidewater.session import cut_lineage
+
 
 class InvalidMethodError(ValueError):
-    pass
+    """``method`` names no rule for the number of clusters."""
 
 
 class NoElbowError(ValueError):
-    pass
+    """The inertia curve has no elbow where one is needed."""
 
 
 def _features(df: DataFrame, vec: str) -> DataFrame:
@@ -90,13 +96,18 @@ def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_ro
     parts = g.groupBy("grp", "b1", "b2").applyInPandas(_sil_block_fn, SIL_SCHEMA)
     per = parts.groupBy("grp", "key", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     per = per.join(rows.select("grp", "key", "cl"), ["grp", "key"])
+    return _widths(per, "grp", "key").select(*([F.col("grp").alias(group)] if group else []), "key", "silhouette")
+
+
+def _widths(per: DataFrame, *row: str) -> DataFrame:
+    """(row columns, silhouette) from distance sums and counts (row, cl, other, dsum, cnt) of each row to each cluster, itself counted."""
     own = F.when(F.col("other") == F.col("cl"), F.try_divide(F.col("dsum"), F.col("cnt") - 1))
     oth = F.when(F.col("other") != F.col("cl"), F.col("dsum") / F.col("cnt"))
-    s = per.groupBy("grp", "key").agg(F.max(F.when(F.col("other") == F.col("cl"), F.col("cnt"))).alias("own_n"),
-                               F.max(own).alias("a"), F.min(oth).alias("b"))
+    s = per.groupBy(*row).agg(F.max(F.when(F.col("other") == F.col("cl"), F.col("cnt"))).alias("own_n"),
+                              F.max(own).alias("a"), F.min(oth).alias("b"))
     sil = F.when((F.col("own_n") <= 1) | F.col("b").isNull(), F.lit(0.0)) \
-        .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return s.select(*([F.col("grp").alias(group)] if group else []), "key", sil.alias("silhouette"))
+        .otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return s.select(*row, sil.alias("silhouette"))
 
 
 def silhouette_exact(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 2048) -> float:
@@ -104,6 +115,67 @@ def silhouette_exact(df: DataFrame, key: str, vec: str, cluster: str, block_rows
     return silhouette_per_row(df, key, vec, cluster, block_rows).agg(F.avg("silhouette")).first()[0]
 
 
+class Estimate(NamedTuple):
+    """A mean, the half width that holds with the asked confidence (0 where all rows were taken), and the rows it rests on."""
+    mean: float
+    margin: float
+    sampled: int
+    rows: int
+
+
+def silhouette_of_sample(df: DataFrame, key: str, vec: str, cluster: str, sample: int = 2048, seed: int = 42) -> DataFrame:
+    """(row, silhouette) of at most ``sample`` rows (A10), each held against all rows: sample x rows distances, one pass.
+
+    The sample (``sample`` vectors at most, whatever the input's size) goes to every task; a task sends back one sum for
+    each sampled row and cluster it saw. Rows may repeat; rows without a vector or cluster are left out.
+    """
+    rows = df.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("v"), F.col(cluster).cast("long").alias("cl")) \
+        .where(F.col("v").isNotNull() & F.col("cl").isNotNull())
+    taken = sample_rows(rows, sample, seed, "key").select("v", "cl").collect()
+    shape = "row long, other long, dsum double, cnt long"
+    if not taken:
+        return df.sparkSession.createDataFrame([], "row long, silhouette double")
+    points = np.array([r.v for r in taken], dtype=np.float64)
+    square = (points * points).sum(1)[:, None]
+
+    def sent(sums):
+        for c, (d, n) in sums.items():
+            yield pd.DataFrame({"row": np.arange(len(points)), "other": c, "dsum": d, "cnt": n})
+
+    def measure(batches):
+        sums: dict[int, list] = {}
+        for pdf in batches:
+            for s in range(0, len(pdf), 1024):
+                part = pdf.iloc[s:s + 1024]
+                b, to = np.vstack(part["v"].to_numpy()).astype(np.float64), part["cl"].to_numpy(np.int64)
+                d = np.sqrt(np.maximum(square + (b * b).sum(1)[None, :] - 2 * points @ b.T, 0.0))
+                for c in np.unique(to):
+                    acc = sums.setdefault(int(c), [np.zeros(len(points)), 0])
+                    acc[0] += d[:, to == c].sum(1)
+                    acc[1] += int((to == c).sum())
+            if len(sums) > 256:
+                yield from sent(sums)
+                sums = {}
+        yield from sent(sums)
+
+    per = rows.select("v", "cl").mapInPandas(measure, shape).groupBy("row", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+    own = df.sparkSession.createDataFrame([(i, r.cl) for i, r in enumerate(taken)], "row long, cl long")
+    return _widths(per.join(own, "row"), "row")
+
+
+def silhouette_estimate(df: DataFrame, key: str, vec: str, cluster: str, sample: int = 2048, seed: int = 42, confidence: float = 0.95) -> Estimate:
+    """M4 in linear time: the mean silhouette of a sample of rows, each exact against all rows.
+
+    Silhouettes lie in [-1, 1], so with the given confidence the mean over all rows is within ``margin`` (Hoeffding's
+    inequality with Serfling's factor for samples without replacement). Equals ``silhouette_exact`` where the table has
+    no more than ``sample`` rows. Without rows: mean 0.
+    """
+    n = df.where(F.col(vec).isNotNull() & F.col(cluster).isNotNull()).count()
+    mean, m = silhouette_of_sample(df, key, vec, cluster, sample, seed).agg(F.avg("silhouette"), F.count(F.lit(1))).first()
+    margin = 0.0 if m >= n else 2 * math.sqrt((1 - (m - 1) / n) * math.log(2 / (1 - confidence)) / (2 * m))
+    return Estimate(float(mean or 0.0), margin, m, n)
+
+
 def silhouette_sq(predictions: DataFrame, vec: str, cluster: str = "cluster") -> float:
     """MLlib's silhouette (squared Euclidean), linear time."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol=cluster, distanceMeasure="squaredEuclidean")
@@ -112,28 +184,28 @@ def silhouette_sq(predictions: DataFrame, vec: str, cluster: str = "cluster") ->
 
 # ----------------------------------------------------------------------------- M3
 def k_sweep(df: DataFrame, key: str, vec: str, k_range: Sequence[int] = range(2, 10), seed: int = 42,
-            silhouette: str = "exact") -> tuple[DataFrame, dict]:
+            silhouette: str = "estimate", sample: int = 2048) -> tuple[DataFrame, dict]:
     """M3: per k, k-means inertia and silhouette (forced to 0 for k = 2, as in the reference).
 
-    Returns (metrics frame (k, inertia, silhouette), {k: (model, predictions)}).
-    The input is persisted once so every fit reads the same cached vectors.
+    ``silhouette``: ``estimate`` (linear, from ``sample`` rows, exact up to that many), ``exact`` (quadratic) or ``sq``
+    (MLlib's squared form). Returns (metrics frame (k, inertia, silhouette, margin of it), {k: (model, predictions)}).
+    The vectors are written once, so every fit reads the same rows.
     """
+    if silhouette not in ("estimate", "exact", "sq"):
+        raise ValueError(f"silhouette is estimate, exact or sq, not {silhouette!r}")
     spark = df.sparkSession
-    data = df.select(key, vec).persist()
+    data = cut_lineage(df.select(key, vec))
     rows, fits = [], {}
     for k in k_range:
         model, pred = kmeans(data, vec, k, seed)
-        inertia = float(model.summary.trainingCost)
-        if k == 2:
-            sil = 0.0
-        elif silhouette == "exact":
-            sil = float(silhouette_exact(pred, key, vec, "cluster"))
-        else:
-            sil = float(silhouette_sq(pred, vec))
-        rows.append((int(k), inertia, sil))
+        sil, margin = 0.0, 0.0
+        if k != 2 and silhouette == "estimate":
+            sil, margin = silhouette_estimate(pred, key, vec, "cluster", sample, seed)[:2]
+        elif k != 2:
+            sil = float(silhouette_exact(pred, key, vec, "cluster") if silhouette == "exact" else silhouette_sq(pred, vec))
+        rows.append((int(k), float(model.summary.trainingCost), sil, margin))
         fits[k] = (model, pred)
-    metrics = spark.createDataFrame(rows, "k long, inertia double, silhouette double")
-    return metrics, fits
+    return spark.createDataFrame(rows, "k long, inertia double, silhouette double, margin double"), fits
 
 
 def inertia_given(df: DataFrame, vec: str, *cluster: str) -> DataFrame:
@@ -186,7 +258,7 @@ def choose_k(metrics: DataFrame, method: str = "silhouette") -> DataFrame:
     both = their mean rounded half-even. Unknown method -> InvalidMethodError.
     """
     if method not in ("elbow", "silhouette", "both"):
-        raise InvalidMethodError(f"Invalid method '{method}'. Must be one of: 'elbow', 'silhouette', 'both'")
+        raise InvalidMethodError(f"k is chosen by elbow, silhouette or both, not by {method!r}")
     el = knee(metrics).select(F.col("knee").alias("elbow_k"))
     best = metrics.agg(F.min_by("k", F.struct(-F.col("silhouette"), F.col("k"))).alias("best_silhouette_k"))
     # two one-row frames folded into one row

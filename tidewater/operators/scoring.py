@@ -6,12 +6,11 @@ data (``Error occurred`` + the error text), never a failed job. Prompts are
 built with Column expressions, parsing of answers reuses the text functions,
 and the write-back is a keyed update (K3).
 
-Default models are deterministic stand-ins so every path runs without a network.
+Generators have no default: the caller brings one. The default encoder hashes character trigrams.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -23,57 +22,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as St
 
 from tidewater.functions import text as T
-from tidewater.operators import clustering, filters, joins, report, upsert
+from tidewater.operators import clustering, discovery, filters, joins, report, upsert
 from tidewater.operators.ranking import top_n_per_group
 from tidewater.operators.similarity import nearest
-from tidewater.schemas import SEED_CATEGORIES
+from tidewater.session import cut_lineage
 
 ERROR_TEXT = "Error occurred"
 
 
 # ----------------------------------------------------------------------------- models
 def hashed_trigram_encoder(dim: int = 64) -> Callable[[Sequence[str]], np.ndarray]:
-    """Default encoder: character-trigram counts hashed (crc32) into ``dim`` buckets, L2-normalised."""
+    """Default encoder: character-trigram counts hashed into ``dim`` buckets, L2-normalised; under three characters a zero vector."""
+    factor = np.uint64(0x9E3779B97F4A7C15)
+
     def enc(texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), dim))
         for r, t in enumerate(texts):
-            s = (t or "").lower()
-            for i in range(len(s) - 2):
-                out[r, zlib.crc32(s[i:i + 3].encode("utf-8")) % dim] += 1.0
+            c = np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+            if len(c) > 2:
+                h = (c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]) * factor  # a trigram is 63 bits; products wrap
+                out[r] = np.bincount((h >> np.uint64(32)).astype(np.int64) % dim, minlength=dim)
         n = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, n, out=np.zeros_like(out), where=n > 0)
     return enc
 
 
-def default_generator(prompt: str) -> str:
-    """Deterministic stand-in for a generative model (picks answers from a hash of the prompt)."""
-    h = zlib.crc32(prompt.encode("utf-8"))
-    if "Disruption event:" in prompt and "Content:" in prompt:
-        content = prompt.split("Content:", 1)[1].strip().strip("'")
-        words = content.split()[:30]
-        return f"Disruption event: {' '.join(words)}\nPort Affected: Not mentioned\nDate: Not mentioned"
-    if "severity level" in prompt.lower():
-        return str(1 + h % 5)
-    if "and the corresponding short description" in prompt:
-        return f"Cluster Risk {h % 97}: Events grouped by similarity"
-    name = SEED_CATEGORIES[h % len(SEED_CATEGORIES)][1]
-    return f"**{name}**\nReasoning omitted."
-
-
-# ----------------------------------------------------------------------------- M1 / M12
-def encode(df: DataFrame, text: str, fn: Callable[[Sequence[str]], np.ndarray] | None = None,
-           out: str = "embedding", batch_size: int = 32) -> DataFrame:
-    """M1: texts -> vectors with an injected encoder, batched per Arrow batch (model built once per task)."""
-    fn = fn or hashed_trigram_encoder()
+# ----------------------------------------------------------------------------- M1 / M12 / U3
+def encode(df: DataFrame, text: str, fn: Callable[[Sequence[str]], np.ndarray] | None = None, out: str = "embedding", batch_size: int = 32,
+           load: Callable[[], Callable[[Sequence[str]], np.ndarray]] | None = None) -> DataFrame:
+    """M1: texts -> vectors, ``batch_size`` texts a call. The encoder is ``fn`` or what ``load`` returns, called once a task.
+
+    A null text is encoded as an empty one.
+    """
+    load = load or (lambda: fn or hashed_trigram_encoder())
     cols = df.columns
     schema = St.StructType(list(df.schema.fields) + [St.StructField(out, St.ArrayType(St.DoubleType()))])
 
     def run(it):
+        model = load()
         for pdf in it:
             vecs = []
             texts = pdf[text].fillna("").tolist()
             for s in range(0, len(texts), batch_size):
-                vecs.extend(list(np.asarray(fn(texts[s:s + batch_size]), dtype=np.float64)))
+                vecs.extend(list(np.asarray(model(texts[s:s + batch_size]), dtype=np.float64)))
             res = pdf[cols].copy()
             res[out] = vecs
             yield res
@@ -81,32 +72,42 @@ def encode(df: DataFrame, text: str, fn: Callable[[Sequence[str]], np.ndarray] |
     return df.mapInPandas(run, schema)
 
 
-def infer_batch(df: DataFrame, prompt: str, fn: Callable[[str], str] | None = None,
-                out: str = "response") -> DataFrame:
-    """Prompt per row -> text; on exception the row gets 'Error occurred' and the error text."""
-    fn = fn or default_generator
+def infer_batches(df: DataFrame, prompt: str, load: Callable[[], Callable[[list[str]], Sequence[str]]], out: str = "response",
+                  batch_size: int = 32) -> DataFrame:
+    """Prompts -> answers, ``batch_size`` prompts a call; ``load`` builds the model once a task.
+
+    Where a call fails or answers another number of texts, its prompts are asked one by one, so only the row at
+    fault gets 'Error occurred' and the error text. A model that can't be loaded fails the task.
+    """
     cols = df.columns
-    schema = St.StructType(list(df.schema.fields) + [St.StructField(out, St.StringType()),
-                                                      St.StructField(f"{out}_error", St.StringType())])
+    schema = St.StructType(list(df.schema.fields) + [St.StructField(out, St.StringType()), St.StructField(f"{out}_error", St.StringType())])
+
+    def ask(model, prompts):
+        try:
+            got = list(model(prompts))
+            if len(got) != len(prompts):
+                raise ValueError(f"{len(got)} answers to {len(prompts)} prompts")
+            return [(str(g), None) for g in got]
+        except Exception as e:  # noqa: BLE001 - a row's error is data
+            if len(prompts) == 1:
+                return [(ERROR_TEXT, f"{type(e).__name__}: {e}")]
+            return [a for p in prompts for a in ask(model, [p])]
 
     def run(it):
+        model = load()
         for pdf in it:
-            resp, errs = [], []
-            for p in pdf[prompt].tolist():
-                try:
-                    resp.append(str(fn(p)))
-                    errs.append(None)
-                except Exception as e:  # noqa: BLE001 - per-row errors are data
-                    resp.append(ERROR_TEXT)
-                    errs.append(f"{type(e).__name__}: {e}")
-            res = pdf[cols].copy()
-            res[out] = resp
-            res[f"{out}_error"] = errs
-            yield res
+            prompts = pdf[prompt].tolist()
+            answers = [a for s in range(0, len(prompts), batch_size) for a in ask(model, prompts[s:s + batch_size])]
+            yield pdf[cols].assign(**{out: [a for a, _ in answers], f"{out}_error": [e for _, e in answers]})
 
     return df.mapInPandas(run, schema)
 
 
+def infer_batch(df: DataFrame, prompt: str, fn: Callable[[str], str], out: str = "response") -> DataFrame:
+    """M12 with a model of one prompt: on exception the row gets 'Error occurred' and the error text."""
+    return infer_batches(df, prompt, lambda: lambda prompts: [fn(p) for p in prompts], out, batch_size=1)
+
+
 # ----------------------------------------------------------------------------- T18 prompts
 def catalogue_string(categories: DataFrame) -> DataFrame:
     """A7 over the catalogue: one row with the bullet text."""
@@ -125,17 +126,14 @@ def catalogue_literal(categories: DataFrame) -> Column:
 def category_prompt(article: Column, catalogue: Column, new: bool = False) -> Column:
     """Classification prompt; ``new`` asks for a fresh category for many articles."""
     if new:
-        head = "Given the following texts:\n"
-        body = F.concat(F.lit("- "), F.array_join(article, "\n- "))
-        task = ("\n\nThese are the existing maritime risk categories (do NOT use any of these):\n")
-        tail = ("\nGive one new, concise risk category that describes these texts, in the style of the "
-                "categories above, without the word maritime, and the corresponding short description "
-                "separated by a colon.")
+        head, body = "Texts of one group:\n", F.concat(F.lit("- "), F.array_join(article, "\n- "))
+        task = "\n\nCategories in use, each with its meaning:\n"
+        tail = ("\nFind a category that isn't in use and fits the whole group. Answer in one line, 'name: meaning'; "
+                "the name is short and does without the word 'maritime'.")
     else:
-        head = "Given the following text:\n"
-        body = article
-        task = "\n\nThese are the maritime risk categories and their descriptions:\n"
-        tail = "\nReply with the final risk classification only."
+        head, body = "Text:\n", article
+        task = "\n\nRisk categories, each with its meaning:\n"
+        tail = "\nAnswer with the name of the one category that fits best."
     return F.concat(F.lit(head), body, F.lit(task), catalogue, F.lit(tail))
 
 
@@ -148,14 +146,13 @@ def summary_prompt(headline: Column, description: Column) -> Column:
 
 def severity_prompt(headline: Column, description: Column, main_risk: Column, port: Column) -> Column:
     """Generative severity prompt; the model answers one number 1-5."""
-    return F.concat(F.lit("Assess the severity level (1-5) of this maritime incident and reply with the "
-                          "number only.\nHeadline: "), headline, F.lit("\nDescription: "), description,
-                    F.lit("\nMain Risk: "), main_risk, F.lit("\nAffected Port: "), port,
-                    F.lit("\nAssessment: Severity Level:"))
+    return F.concat(F.lit("How severe is this incident, from 1 (least) to 5 (most)? Answer with the digit alone.\nTitle: "),
+                    headline, F.lit("\nText: "), description, F.lit("\nRisk: "), main_risk, F.lit("\nPort: "), port,
+                    F.lit("\nSeverity:"))
 
 
 # ----------------------------------------------------------------------------- M14 / M11 / M10
-def summarise(df: DataFrame, key: str = "_id", fn: Callable[[str], str] | None = None) -> DataFrame:
+def summarise(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
     """Prompt -> model -> 'Key: value' answer -> summary / port / date."""
     p = df.withColumn("_prompt", summary_prompt(F.col("headline"), F.col("description")))
     r = infer_batch(p, "_prompt", fn).withColumn("_kv", T.key_value_entries(F.col("response")))
@@ -163,8 +160,8 @@ def summarise(df: DataFrame, key: str = "_id", fn: Callable[[str], str] | None =
     return r.select(*df.columns, *T.project_extraction(F.col("_m")), "response_error")
 
 
-def classify_category(df: DataFrame, catalogue: DataFrame, key: str = "_id",
-                      fn: Callable[[str], str] | None = None, text: str = "summary") -> DataFrame:
+def classify_category(df: DataFrame, catalogue: DataFrame, fn: Callable[[str], str], key: str = "_id",
+                      text: str = "summary") -> DataFrame:
     """Pending rows (F7) -> prompt with the catalogue -> model -> T16 -> set main_risk and final_risk (K3)."""
     pending = filters.pending_category(df)
     p = pending.withColumn("_prompt", category_prompt(F.col(text), catalogue_literal(catalogue)))
@@ -185,7 +182,7 @@ def classify_severity(df: DataFrame, key: str = "_id", model: str = "zero-shot",
     """Unique articles -> (severity_level, severity_label, confidence).
 
     zero-shot: T19 input text scored against the five labels (J9), level by T20;
-    generative: T18 prompt -> model -> integer (confidence null). Unknown model -> ValueError.
+    generative: T18 prompt -> ``fn`` -> integer (confidence null). Another model, or no ``fn`` there -> ValueError.
     """
     u = df.where(F.coalesce(F.col("is_unique"), F.lit(False))) if "is_unique" in df.columns else df
     if model == "zero-shot":
@@ -193,7 +190,9 @@ def classify_severity(df: DataFrame, key: str = "_id", model: str = "zero-shot",
         best = joins.label_scores(x, T.SEVERITY_LABELS, scorer, key, "_txt")
         return best.select(key, T.severity_level(F.col("best_label")).alias("severity_level"),
                            F.col("best_label").alias("severity_label"), F.col("score").alias("confidence"))
-    if model == "gemini" or model == "generative":
+    if model in ("gemini", "generative"):
+        if fn is None:
+            raise ValueError("the generative model needs fn")
         port = F.coalesce(F.col("extracted_affected_port"), F.lit("")) if "extracted_affected_port" in u.columns \
             else F.lit("")
         p = u.withColumn("_prompt", severity_prompt(F.col("headline"), F.col("description"),
@@ -202,7 +201,15 @@ def classify_severity(df: DataFrame, key: str = "_id", model: str = "zero-shot",
         lvl = T.parse_level(F.col("response"))
         return r.select(key, lvl.alias("severity_level"), T.py_strip(F.col("response")).alias("severity_label"),
                         F.lit(None).cast("double").alias("confidence"))
-    raise ValueError("Invalid model choice. Use 'zero-shot' or 'gemini'.")
+    raise ValueError(f"unknown severity model {model!r}")
+
+
+def write_severity(df: DataFrame, key: str = "_id", **model) -> DataFrame:
+    """M10 with its write-back (K3): the rows of ``df`` with severity_level, severity_label and confidence.
+
+    Rows that aren't unique keep their values, or null where the fields are new. Keys are unique; a row without a key isn't scored.
+    """
+    return upsert.update_fields_by_key(df, classify_severity(df.where(F.col(key).isNotNull()), key, **model), key)
 
 
 # ----------------------------------------------------------------------------- M13
@@ -260,21 +267,33 @@ def lda_topics(df: DataFrame, text: str, k: int = 5, words: int = 10, seed: int
 
 
 # ----------------------------------------------------------------------------- D4
-def dedup_word2vec(df: DataFrame, key: str, text: str, threshold: float = 0.9, order: str | None = None,
-                   vector_size: int = 100, window: int = 5, min_count: int = 1, seed: int = 42) -> DataFrame:
-    """D4 re-aimed: one Word2Vec fit on the corpus, document = mean word vector, then D1."""
-    from tidewater.operators.dedup import dedup_greedy
+def dedup_word2vec(df: DataFrame, key: str, text: str, threshold: float = 0.9, order: str | None = None, vector_size: int = 100,
+                   window: int = 5, min_count: int = 1, seed: int = 42, against: str = "documents", partitions: int | None = None) -> DataFrame:
+    """D4 re-aimed: one Word2Vec fit on the corpus in ``partitions`` tasks (else the session's parallelism), document = mean word vector.
+
+    ``against`` documents: greedy dedup of the document vectors (D1). ``against`` words: a document goes if any word
+    vector has a cosine > threshold to its own; the most frequent words are tried first. A text without a known word stays.
+    Null texts are empty; each row is decided by itself.
+    """
     from pyspark.ml.functions import vector_to_array
-    toks = df.withColumn("_tokens", T.tokenize(F.col(text)))
-    w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed,
-                   inputCol="_tokens", outputCol="_w2v").fit(toks)
+    from tidewater.operators import dedup
+    if against not in ("documents", "words"):
+        raise ValueError(f"against is documents or words, not {against!r}")
+    toks = cut_lineage(df.withColumn("_tokens", F.coalesce(T.tokenize(F.col(text)), F.array().cast("array<string>"))))
+    if not toks.select(F.explode("_tokens")).limit(1).count():
+        return df
+    w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed, inputCol="_tokens", outputCol="_w2v",
+                   numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism).fit(toks)
     vecs = w2v.transform(toks).withColumn("_vec", vector_to_array("_w2v")).drop("_w2v", "_tokens")
-    return dedup_greedy(vecs, key, "_vec", threshold, order=order).drop("_vec")
+    if against == "documents":
+        return dedup.dedup_greedy(vecs, key, "_vec", threshold, order=order).drop("_vec")
+    counts = toks.select(F.explode("_tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = w2v.getVectors().join(counts, "word").select("word", "n", vector_to_array("vector").alias("u"))
+    return dedup.dedup_against(vecs, key, "_vec", words, "u", threshold, first=[F.col("n").desc(), F.col("word")], order=order).drop("_vec")
 
 
 # ----------------------------------------------------------------------------- M7 / M8 / M9
-def generate_category(samples: DataFrame, catalogue: DataFrame, cluster: str = "cluster",
-                      fn: Callable[[str], str] | None = None) -> DataFrame:
+def generate_category(samples: DataFrame, catalogue: DataFrame, fn: Callable[[str], str], cluster: str = "cluster") -> DataFrame:
     """M8: per cluster, its sample texts -> new-category prompt -> model -> (category, description, error)."""
     p = samples.withColumn("_prompt", category_prompt(F.col("sample_texts"), catalogue_literal(catalogue),
                                                       new=True))
@@ -285,21 +304,23 @@ def generate_category(samples: DataFrame, catalogue: DataFrame, cluster: str = "
 def discover_categories(df: DataFrame, key: str, text: str, catalogue: DataFrame,
                         k_range: Sequence[int] = range(2, 10), method: str = "silhouette",
                         samples_per_cluster: int = 20, minimum_samples: int = 500,
-                        encoder=None, fn: Callable[[str], str] | None = None, order: str | None = None):
+                        encoder=None, fn: Callable[[str], str] | None = None, order: str | None = None,
+                        stop_words: Sequence[str] = ()):
     """M7: Others rows (F8) -> encode (M1) -> k sweep (M3) -> choose k (M6) -> clusters (M2, from the
-    sweep, no refit) -> first texts per cluster (A8) -> name each cluster (M8).
+    sweep, no refit) -> first texts per cluster (A8) -> names: by ``fn`` (M8), else by the words that set each cluster apart.
 
-    Returns (categories frame, assignment frame (key, cluster)).
+    Returns (categories frame, assignment frame (key, cluster)); ``discovery.apply_categories`` takes both on. Keys are unique.
     """
     others = filters.others_with_minimum(df, minimum_samples)
-    enc = encode(others.select(key, text, *([order] if order and order != key else [])), text, encoder,
-                 "embedding").persist()
+    extra = [order] if order and order != key else []
+    enc = cut_lineage(encode(others.select(key, text, *extra), text, encoder, "embedding"))
     metrics, fits = clustering.k_sweep(enc, key, "embedding", k_range)
     k = clustering.chosen_k(metrics, method)
-    extra = [order] if order and order != key else []
-    assign = fits[k][1].select(key, "cluster").join(enc.select(key, text, *extra), key)
-    summary = report.cluster_summary(assign, "cluster", text, order or key, samples_per_cluster)
-    cats = generate_category(summary, catalogue, "cluster", fn)
+    assign = cut_lineage(fits[k][1].select(key, "cluster").join(enc.select(key, text, *extra), key))
+    if fn:
+        cats = generate_category(report.cluster_summary(assign, "cluster", text, order or key, samples_per_cluster), catalogue, fn)
+    else:
+        cats = discovery.named_clusters(assign, "cluster", text, order or key, samples_per_cluster, stop_words)
     return cats, assign.select(key, "cluster")
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
-from tidewater.operators import clustering, dedup, scoring, similarity
-from tidewater.plans.q_text import s_strip
+from tidewater.functions.vocab import english_stop_words
+from tidewater.operators import clustering, dedup, discovery, scoring, similarity
+from tidewater.plans.q_keys import _others_assignment
+from tidewater.plans.q_text import s_list, s_strip
 from tidewater.plans.q_vectors import CENTROIDS_SQL, EMB_EDGES, greedy_sql
 from tidewater.plans.registry import query
 from tidewater.plans.views import ARTICLES_SQL, articles
@@ -132,7 +134,7 @@ def q_kmeans_assign(spark, sf_dir):
 
 @query("k_sweep")
 def q_k_sweep(spark, sf_dir):
-    """M3: k-means inertia and exact silhouette for k = 2..9 (silhouette 0 at k = 2)."""
+    """M3: k-means inertia and estimated silhouette with its margin for k = 2..9 (silhouette 0 at k = 2)."""
     metrics, _ = clustering.k_sweep(emb(spark, sf_dir), "vec_id", "embedding", K_RANGE, seed=42)
     return metrics
 
@@ -184,6 +186,16 @@ def q_classify_severity(spark, sf_dir):
                     F.round("confidence", 6).alias("confidence"))
 
 
+@query("write_severity", sql=f"""
+SELECT a._id, a.main_risk, s.severity_level, s.severity_label, s.confidence
+FROM ({ARTICLES_SQL}) a LEFT JOIN ({_sev_sql()}) s ON s._id = a._id
+""")
+def q_write_severity(spark, sf_dir):
+    """M10 + K3: severity, label and confidence written to every unique article, the others untouched."""
+    r = scoring.write_severity(articles(spark, sf_dir), "_id", model="zero-shot")
+    return r.select("_id", "main_risk", F.col("severity_level").cast("long").alias("severity_level"), "severity_label", F.round("confidence", 6).alias("confidence"))
+
+
 @query("analyze_new_incident", sql=f"""
 WITH {CENTROIDS_SQL},
 d AS (SELECT c.label AS q_key, e.vec_id AS c_key, e.label AS category,
@@ -207,14 +219,85 @@ def seed_catalogue(spark):
     return seed_categories(spark)
 
 
+# ------------------------------------------------------------------ M7, K2, K4, A9 on given clusters
+TERMS_SQL = f"""
+a AS MATERIALIZED ({ARTICLES_SQL}),
+asg AS (SELECT _id, CAST(substr(state, 4) AS INTEGER) % 5 AS cluster FROM a WHERE main_risk = 'Others'),
+o AS MATERIALIZED (SELECT asg._id, asg.cluster, a.description FROM asg JOIN a USING (_id)),
+hits AS (SELECT cluster, unnest(list_filter(list_transform(regexp_extract_all(description, '\\p{{L}}+'), lambda w: lower(w)),
+                                            lambda w: length(w) >= 3 AND NOT list_contains({s_list(english_stop_words())}, w))) AS term FROM o),
+tf AS MATERIALIZED (SELECT cluster, term, count(*) AS tf FROM hits GROUP BY ALL),
+words AS (SELECT cluster, sum(tf) AS words FROM tf GROUP BY cluster),
+f AS (SELECT term, sum(tf) AS f FROM tf GROUP BY term),
+scored AS (SELECT tf.cluster, term, tf.tf / words.words * ln(1.0::DOUBLE + (SELECT sum(words) / count(*) FROM words) / f.f) AS score
+           FROM tf JOIN f USING (term) JOIN words ON words.cluster = tf.cluster),
+terms AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, term) AS rank FROM scored) WHERE rank <= 5)
+"""
+NAMES_SQL = TERMS_SQL + """,
+listed AS (SELECT cluster, list(term ORDER BY rank) AS t FROM terms GROUP BY cluster),
+named AS (SELECT s.cluster, s.size,
+                 coalesce(array_to_string(list_transform(t[1:3], lambda w: upper(w[1]) || w[2:]), ', '), 'Unnamed ' || CAST(s.cluster AS VARCHAR)) AS n,
+                 coalesce('Reports on ' || array_to_string(t, ', ') || '.', 'Reports without words.') AS description
+          FROM (SELECT cluster, count(*) AS size FROM o WHERE cluster IS NOT NULL GROUP BY cluster) s LEFT JOIN listed USING (cluster)),
+cats AS MATERIALIZED (SELECT cluster, size, CASE WHEN k = 1 THEN n ELSE n || ' (' || CAST(k AS VARCHAR) || ')' END AS category, description
+                      FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY cluster) AS k FROM named))
+"""
+
+
+def _others(spark, sf_dir):
+    """The articles, the given clusters of the 'Others' ones (source number mod 5), and these with their whole texts."""
+    a = articles(spark, sf_dir).select("_id", "description", "main_risk", "state")
+    asg = _others_assignment(a)
+    return a, asg, asg.join(a.select("_id", "description"), "_id")
+
+
+def _applied(spark, sf_dir):
+    a, asg, rows = _others(spark, sf_dir)
+    cats = discovery.named_clusters(rows, "cluster", "description", "_id", 20, english_stop_words())
+    return discovery.apply_categories(a.select("_id", "main_risk"), asg, cats, seed_catalogue(spark))
+
+
+@query("cluster_terms", sql="WITH " + TERMS_SQL + "SELECT cluster, rank, term, round(score, 9) AS score FROM terms")
+def q_cluster_terms(spark, sf_dir):
+    """M7: the five words that set each given cluster of 'Others' articles apart, over whole texts."""
+    t = discovery.cluster_terms(_others(spark, sf_dir)[2], "cluster", "description", 5, english_stop_words())
+    return t.select("cluster", F.col("rank").cast("long"), "term", F.round("score", 9).alias("score"))
+
+
+@query("discovered_catalogue", sql="WITH " + NAMES_SQL + """
+SELECT 'discovered-' || CAST(cluster AS VARCHAR) AS _id, category, description, 'discovered' AS origin FROM cats
+UNION ALL """ + " UNION ALL ".join("SELECT '{}', '{}', '{}', 'seed'".format(i, c, d) for i, c, d in SEED_CATEGORIES))
+def q_discovered_catalogue(spark, sf_dir):
+    """M7 + K2: the named clusters appended to the seed catalogue."""
+    return _applied(spark, sf_dir).catalogue
+
+
+@query("discovered_update", sql="WITH " + NAMES_SQL + """
+SELECT a._id, a.main_risk, coalesce(cats.category, a.main_risk) AS final_risk FROM a LEFT JOIN asg USING (_id) LEFT JOIN cats USING (cluster)
+""")
+def q_discovered_update(spark, sf_dir):
+    """M7 + K5 + K4: every article's final risk, 'Others' ones named by their cluster's words."""
+    return _applied(spark, sf_dir).table
+
+
+@query("discovered_analysis", sql="WITH " + NAMES_SQL + """,
+firsts AS (SELECT cluster, array_to_string(list(description ORDER BY rk), chr(10)) AS e FROM (
+             SELECT cluster, description, row_number() OVER (PARTITION BY cluster ORDER BY _id) AS rk FROM o) WHERE rk <= 3 GROUP BY cluster)
+SELECT category, size AS number_of_incidents, e AS example_incidents FROM cats JOIN firsts USING (cluster)
+""")
+def q_discovered_analysis(spark, sf_dir):
+    """M7 + A9: the named clusters with their sizes and first three whole texts."""
+    return _applied(spark, sf_dir).analysis
+
+
 @query("discover_categories")
 def q_discover_categories(spark, sf_dir):
-    """M7: whole texts of the 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the model."""
+    """M7: whole texts of the 'Others' articles encoded, k chosen by silhouette over 2..9, clusters named by the words that set them apart."""
     a = articles(spark, sf_dir).select("_id", F.col("description").alias("summary"), "main_risk") \
         .withColumn("_id", F.col("_id").cast("long"))
     cats, _ = scoring.discover_categories(a, "_id", "summary", seed_catalogue(spark), range(2, 10),
-                                          "silhouette", minimum_samples=20)
-    return cats.select("cluster", "size", "category", "description", "error")
+                                          "silhouette", minimum_samples=20, stop_words=english_stop_words())
+    return cats.select("cluster", "size", "category", "description")
 
 
 @query("lda_topics")
@@ -237,6 +320,20 @@ def q_dedup_word2vec(spark, sf_dir):
     return scoring.dedup_word2vec(d, "doc_id", "text", 0.9).select("doc_id")
 
 
+@query("dedup_against_words", sql=f"""
+WITH {CENTROIDS_SQL},
+hit AS (SELECT DISTINCT e.vec_id FROM embeddings e, c
+        WHERE list_sum(list_transform(list_zip(e.embedding, c.centroid), lambda p: p[1] * p[2]))
+              / (sqrt(list_sum(list_transform(e.embedding, lambda x: x * x))) * sqrt(list_sum(list_transform(c.centroid, lambda x: x * x)))) > 0.3)
+SELECT vec_id FROM embeddings ANTI JOIN hit USING (vec_id)
+""")
+def q_dedup_against_words(spark, sf_dir):
+    """D4's search on given vectors: embeddings stay unless some label's centroid has a cosine above 0.3 to them."""
+    e = emb(spark, sf_dir)
+    cent = similarity.centroids(e, "label", "embedding")
+    return dedup.dedup_against(e.select("vec_id", "embedding"), "vec_id", "embedding", cent, "centroid", 0.3).select("vec_id")
+
+
 
 
 # ------------------------------------------------------------------ T18 render_prompt, D5 flag_deduplicated
@@ -247,10 +344,10 @@ def _seed_catalogue_text() -> str:
 
 
 @query("render_prompt", sql=f"""
-SELECT _id, 'Given the following text:' || chr(10) || description || chr(10) || chr(10) ||
-       'These are the maritime risk categories and their descriptions:' || chr(10) ||
+SELECT _id, 'Text:' || chr(10) || description || chr(10) || chr(10) ||
+       'Risk categories, each with its meaning:' || chr(10) ||
        '{_seed_catalogue_text().replace(chr(9), "' || chr(9) || '").replace(chr(10), "' || chr(10) || '")}' ||
-       chr(10) || 'Reply with the final risk classification only.' AS prompt
+       chr(10) || 'Answer with the name of the one category that fits best.' AS prompt
 FROM ({ARTICLES_SQL}) WHERE main_risk = '' AND coalesce(is_unique, false)
 """)
 def q_render_prompt(spark, sf_dir):
