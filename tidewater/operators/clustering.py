@@ -16,11 +16,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.report import sample_rows
@@ -47,58 +48,112 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int = 42, max_iter: int = 20):
 
 
 # ----------------------------------------------------------------------------- M4
-SIL_SCHEMA = "grp long, key long, other long, dsum double, cnt long"
-
-
-def _sil_block_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-    b1, b2, grp = (int(pdf[c].iloc[0]) for c in ("b1", "b2", "grp"))
-    left = pdf[pdf["blk"] == b1]
-    right = left if b1 == b2 else pdf[pdf["blk"] == b2]
-    A = np.vstack(left["v"].to_numpy()).astype(np.float64)
-    B = A if b1 == b2 else np.vstack(right["v"].to_numpy()).astype(np.float64)
-    D = np.sqrt(np.maximum((A * A).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2 * A @ B.T, 0.0))
-    out = []
-    ca, cb = left["cl"].to_numpy(np.int64), right["cl"].to_numpy(np.int64)
-    ka, kb = left["key"].to_numpy(np.int64), right["key"].to_numpy(np.int64)
-
-    def sums(D, keys, other_cl):
-        # per row of D: sum of distances and count per cluster of the columns
-        res = []
-        for c in np.unique(other_cl):
-            m = other_cl == c
-            res.append(pd.DataFrame({"grp": grp, "key": keys, "other": c, "dsum": D[:, m].sum(1), "cnt": int(m.sum())}))
-        return res
-
-    out += sums(D, ka, cb)
-    if b1 != b2:
-        out += sums(D.T, kb, ca)
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-        {"grp": [], "key": [], "other": [], "dsum": [], "cnt": []})
-
-
-def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 2048,
+#: Blocks of a small table, so that its work is shared, and right-hand rows that a block is held against at once.
+FEW_BLOCKS, STRIP_ROWS = 16, 512
+
+SIL_SCHEMA = "grp long, key long, asg int, other long, dsum double, cnt long"
+
+
+def _block_sums(batches):
+    """Per block (grp, b), of rows sorted by (grp, b, side): each left row's sum of distances to the right rows of each cluster of each assignment.
+
+    The left rows (side 0) are held, the right ones stream past them, so memory doesn't grow with the rows.
+    """
+    here, left, keys, points, square, slots, sums, counts = None, [], None, None, None, {}, None, None
+
+    def ended():
+        for (a, c), s in slots.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), here[0])), pa.array(keys), pa.array(np.full(len(keys), a, np.int32)),
+                                              pa.array(np.full(len(keys), c)), pa.array(sums[:, s]), pa.array(np.full(len(keys), counts[s]))],
+                                             ["grp", "key", "asg", "other", "dsum", "cnt"])
+
+    for batch in batches:
+        grp, b, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "b", "side"))
+        cuts = np.flatnonzero((grp[1:] != grp[:-1]) | (b[1:] != b[:-1]) | (side[1:] != side[:-1])) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(grp)]):
+            if lo == hi:
+                continue
+            part = batch.slice(lo, hi - lo)
+            v = np.asarray(part.column("v").flatten()).reshape(hi - lo, -1).astype(np.float64)
+            if (int(grp[lo]), int(b[lo])) != here:
+                if here:
+                    yield from ended()
+                here, left, keys, slots, counts = (int(grp[lo]), int(b[lo])), [], None, {}, []
+            if side[lo] == 0:
+                left.append((part.column("key"), v))
+                continue
+            if keys is None:
+                keys = pa.chunked_array([k for k, _ in left], pa.int64()).combine_chunks()
+                points = np.concatenate([p for _, p in left]) if left else np.zeros((0, v.shape[1]))
+                square, sums = (points * points).sum(1)[:, None], np.zeros((len(points), 0))
+            cls = np.asarray(part.column("cls").flatten()).reshape(hi - lo, -1)
+            for s in range(0, len(v), STRIP_ROWS):
+                p, c = v[s:s + STRIP_ROWS], cls[s:s + STRIP_ROWS]
+                for a in range(c.shape[1]):
+                    for x in np.unique(c[:, a]):
+                        slots.setdefault((a, int(x)), len(slots))
+                if len(slots) > len(counts):
+                    counts += [0] * (len(slots) - len(counts))
+                    sums = np.pad(sums, ((0, 0), (0, len(slots) - sums.shape[1])))
+                member = np.zeros((len(p), len(slots)))
+                for (a, x), at in slots.items():
+                    member[c[:, a] == x, at] = 1.0
+                for at, k in enumerate(member.sum(axis=0).astype(int).tolist()):
+                    counts[at] += k
+                sums += np.sqrt(np.maximum(square + (p * p).sum(1)[None, :] - 2 * points @ p.T, 0.0)) @ member
+    if here:
+        yield from ended()
+
+
+def _distance_sums(rows: DataFrame, block_rows: int) -> DataFrame:
+    """(grp, key, asg, other, dsum, cnt) of rows (grp, key, v, cls): each row's distances to the cluster ``other`` of assignment cls[asg], of its own grp.
+
+    The rows of a block are held by one task while all rows pass it in order; each row goes to every block once.
+    """
+    sizes = rows.groupBy(F.col("grp").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut_lineage(sizes.select("_g", F.greatest(F.ceil(F.col("_n") / block_rows), F.least(F.lit(FEW_BLOCKS), F.ceil(F.col("_n") / STRIP_ROWS))).cast("int").alias("_nb")))
+    tasks = min(4096, int(sizes.agg(F.sum("_nb")).first()[0] or 1))
+    g = rows.join(F.broadcast(sizes), F.col("grp") == F.col("_g"))
+    shape = ["grp", "b", "side", "key", "v", "cls"]
+    own = g.withColumns({"b": F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int"), "side": F.lit(0)}).select(*shape)
+    every = g.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))).withColumn("side", F.lit(1)).select(*shape)
+    dealt = own.unionByName(every).repartition(tasks, "grp", "b").sortWithinPartitions("grp", "b", "side")
+    sums = dealt.mapInArrow(_block_sums, SIL_SCHEMA)
+    return sums.groupBy("grp", "key", "asg", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+
+
+def _vector(df: DataFrame, vec: str):
+    v = F.col(vec)
+    return v if df.schema[vec].dataType.simpleString() == "array<float>" else v.cast("array<double>")
+
+
+def silhouette_per_row(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 8192,
                        group: str | None = None) -> DataFrame:
     """Per-row Euclidean silhouette s(i) = (b - a) / max(a, b); 0 for singleton clusters.
 
-    Rows go to blocks; each block pair is one task computing a distance matrix
-    and per-cluster distance sums (O(n^2) work, bounded memory per task).
+    Rows go to blocks; each block is one stream of distances that keeps per-cluster
+    sums (O(n^2) work, bounded memory per task, n^2 / block_rows rows shuffled).
     Self distances are zero, so a(i) divides by (own cluster size - 1).
     With ``group``, silhouettes are computed independently per group (e.g. per k), which comes first in the result.
     """
-    rows = df.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("v"),
+    rows = df.select(F.col(key).cast("long").alias("key"), _vector(df, vec).alias("v"),
                      F.col(cluster).cast("long").alias("cl"),
                      (F.col(group) if group else F.lit(0)).cast("long").alias("grp"))
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("_gn"))
-    g = rows.join(sizes, "grp").withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(block_rows))))
-    g = g.withColumn("blk", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int")) \
-        .withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_nb").cast("int") - 1))) \
-        .withColumn("b1", F.least("blk", "_x")).withColumn("b2", F.greatest("blk", "_x")).drop("_x", "_nb", "_gn")
-    parts = g.groupBy("grp", "b1", "b2").applyInPandas(_sil_block_fn, SIL_SCHEMA)
-    per = parts.groupBy("grp", "key", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+    per = _distance_sums(rows.select("grp", "key", "v", F.array("cl").alias("cls")), block_rows)
     per = per.join(rows.select("grp", "key", "cl"), ["grp", "key"])
     return _widths(per, "grp", "key").select(*([F.col("grp").alias(group)] if group else []), "key", "silhouette")
 
 
+def silhouettes_per_row(df: DataFrame, key: str, vec: str, clusters: dict[int, Column], name: str, block_rows: int = 8192) -> DataFrame:
+    """(name, key, silhouette): ``silhouette_per_row`` of several assignments of the same rows, by their numbers; each distance is taken once."""
+    numbers = list(clusters)
+    rows = df.select(F.col(key).cast("long").alias("key"), _vector(df, vec).alias("v"),
+                     F.array(*(clusters[k].cast("long") for k in numbers)).alias("cls"), F.lit(0).cast("long").alias("grp"))
+    per = _distance_sums(rows, block_rows).join(rows.select("key", "cls"), "key").withColumn("cl", F.get("cls", "asg"))
+    number = F.get(F.array(*(F.lit(k).cast("long") for k in numbers)), "asg")
+    return _widths(per, "asg", "key").select(number.alias(name), "key", "silhouette")
+
+
 def _widths(per: DataFrame, *row: str) -> DataFrame:
     """(row columns, silhouette) from distance sums and counts (row, cl, other, dsum, cnt) of each row to each cluster, itself counted."""
     own = F.when(F.col("other") == F.col("cl"), F.try_divide(F.col("dsum"), F.col("cnt") - 1))
@@ -110,7 +165,7 @@ def _widths(per: DataFrame, *row: str) -> DataFrame:
     return s.select(*row, sil.alias("silhouette"))
 
 
-def silhouette_exact(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 2048) -> float:
+def silhouette_exact(df: DataFrame, key: str, vec: str, cluster: str, block_rows: int = 8192) -> float:
     """M4: mean Euclidean silhouette over all rows."""
     return silhouette_per_row(df, key, vec, cluster, block_rows).agg(F.avg("silhouette")).first()[0]
 
