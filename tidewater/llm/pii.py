@@ -1,7 +1,7 @@
 """Personal data: formats that are certain, and candidates that boosted trees judge.
 
 High-recall generators propose overlapping spans. Gradient-boosted trees score a span from its format
-and its context; the certain formats of a bounded sample of documents are the labels. A threshold for each
+and its context; the certain formats of all documents are the labels. A threshold for each
 generator, calibrated on held-out candidates, selects the spans that are added. Everything runs as
 expressions over the text: matches come from ``regexp_extract_all``, their places from the pieces that
 ``split`` leaves between them, and the trees are nested CASE expressions.
@@ -43,7 +43,8 @@ GENERATORS = {
 GENERATOR_NEEDS = {"at": "@"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-SAMPLE_DOCS, SAMPLE_SPANS = 20_000, 200_000
+#: Distinct feature rows that one task of the fit holds.
+FEATURE_ROWS = 200_000
 PRECISION = 0.95
 #: Elements of an array, and characters of a text, that are handled as one cell.
 CELL, TEXT_CELL = 256, 4096
@@ -236,37 +237,46 @@ def score_sql(model: Trees) -> str:
     return f"1 / (1 + exp(-2 * ({margin})))"
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION,
-        trees: int = 6, depth: int = 3, sample_spans: int = SAMPLE_SPANS) -> Trees | None:
-    """Trees from at most ``sample_spans`` candidates of at most ``sample_docs`` documents, both chosen by hashes.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int | None = None, precision: float = PRECISION,
+        trees: int = 6, depth: int = 3, sample_spans: int | None = None) -> Trees | None:
+    """Trees from the candidates of all documents; on request of at most ``sample_spans`` of at most ``sample_docs`` documents, chosen by hashes.
 
     Documents of equal id and text are one. A candidate's label is 1 if it holds a certain format. Half the candidates fit the
     trees, the others set each generator's threshold: the least at which ``precision`` of the candidates above hold
-    one; a generator that never reaches it adds nothing. None where the sample lacks candidates of either label.
+    one; a generator that never reaches it adds nothing. Candidates of equal features are one row with their number as its weight.
+    None where candidates of either label lack.
     """
     rows = docs.select(F.col(text_col).cast("string").alias("_t"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_pick"))
-    last = rows.select("_pick").distinct().orderBy("_pick").limit(sample_docs).agg(F.max("_pick")).first()[0]
-    if last is None:
-        return None
-    # the patterns run on the bounded sample in as many tasks as the scan has
-    picked = rows.where(F.col("_pick") <= F.lit(last)).dropDuplicates(["_pick"]).repartition(max(docs.rdd.getNumPartitions(), 1))
-    marked = with_labels(with_candidates(with_base(picked, "_t")))
+    if sample_docs is not None:
+        last = rows.select("_pick").distinct().orderBy("_pick").limit(sample_docs).agg(F.max("_pick")).first()[0]
+        if last is None:
+            return None
+        rows = rows.where(F.col("_pick") <= F.lit(last))
+    marked = with_labels(with_candidates(with_base(rows, "_t")))
     # the outer form: else the optimizer repeats the whole expression in a filter for empty arrays
-    each = marked.select(F.explode_outer("_proposed").alias("z")).where("z IS NOT NULL")
-    sample = store(each.select("z.x.f", "z.label", F.col("z.x.generator").alias("g"), F.col("z.x.h").alias("h")), "sample")
-    sample = sample.orderBy("h", "g", "label", "f").limit(sample_spans)
-    table = sample.coalesce(1).sortWithinPartitions("h", "g", "label", "f").select(
-        array_to_vector("f").alias("features"), "label", "g", (F.pmod(F.col("h"), F.lit(2)) == 0).alias("held")).persist()
+    each = marked.select("_pick", F.explode_outer("_proposed").alias("z")).where("z IS NOT NULL")
+    spans = store(each.select("_pick", F.col("z.x.start").alias("start"), F.col("z.x.end").alias("end"), "z.x.f", "z.label",
+                              F.col("z.x.generator").alias("g"), F.col("z.x.h").alias("h")), "spans")
+    spans = spans.dropDuplicates(["_pick", "start", "end", "g"])  # a document that repeats gives the same spans
+    if sample_spans is not None:
+        spans = spans.orderBy("h", "g", "label", "f").limit(sample_spans)
+    held = (F.pmod(F.col("h"), F.lit(2)) == 0).alias("held")
+    equal = spans.groupBy("f", "label", "g", held).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
+    parts = equal.count() // FEATURE_ROWS + 1
+    order = ("f", "g", "label", "held")
+    table = (equal.coalesce(1) if parts == 1 else equal.repartition(parts, *order)).sortWithinPartitions(*order) \
+        .select(array_to_vector("f").alias("features"), "label", "g", "held", "n").persist()
     try:
-        known = {(r.held, r.label): r["count"] for r in table.groupBy("held", "label").count().collect()}
+        known = {(r.held, r.label): r["count"] for r in table.groupBy("held", "label").count().collect()}  # four rows
         if not all(known.get((h, y)) for h in (True, False) for y in (0.0, 1.0)):
             return None
-        fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=1, cacheNodeIds=False).fit(table.where(~F.col("held")))
+        fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=1, cacheNodeIds=False, weightCol="n").fit(table.where(~F.col("held")))
         judged = fitted.transform(table.where("held"))
-        bins = judged.select("g", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("bin"), "label")
-        counts = bins.groupBy("g", "bin").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")).collect()  # at most 4 * 101 rows
+        bins = judged.select("g", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("bin"), "label", "n")
+        counts = bins.groupBy("g", "bin").agg(F.sum(F.col("label") * F.col("n")).alias("yes"), F.sum("n").alias("n")).collect()  # at most 4 * 101 rows
     finally:
         table.unpersist()
+        equal.unpersist()
     thresholds = []
     for g in range(len(GENERATORS)):
         best = 2.0
