@@ -335,9 +335,10 @@ def lda_topics(df: DataFrame, text: str, k: int = 5, words: int = 10, seed: int
     n = toks.select(F.explode("tokens").alias("t")).agg(F.count_distinct("t")).first()[0]  # every word is in the vocabulary
     cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=max(1, n)).fit(toks)
     lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="tf").fit(cv.transform(toks))
-    spark = df.sparkSession
-    vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index long, term string")
     topics = lda.describeTopics(words).select("topic", F.posexplode("termIndices").alias("rank", "term_index"))
+    named = sorted({r.term_index for r in topics.select("term_index").collect()})  # k x words at most
+    terms = cv.vocabulary
+    vocab = df.sparkSession.createDataFrame([(i, terms[i]) for i in named], "term_index long, term string")
     return topics.join(F.broadcast(vocab), "term_index").select("topic", "rank", "term").orderBy("topic", "rank")
 
 
