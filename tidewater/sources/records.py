@@ -4,11 +4,13 @@ Line- and separator-based formats are read with Spark's splittable text
 reader (custom ``lineSep``), so a large file is spread over many tasks.
 ``id:`` blocks are split at their marker in the same way; what a file holds
 before its first marker is the first piece of the split at offset 0.
-Numbered sections, whose marker varies, are read one file per row (``wholetext``).
+Numbered sections, whose marker varies, are cut where their lines are read; what a
+task can't know to end in its part of a file is put together afterwards.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
+from tidewater.llm.util import store
 
 
 def blank_line_records(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
@@ -107,12 +110,130 @@ def scan_id_blocks(spark: SparkSession, path: str) -> DataFrame:
     return ok.select("file", "start", "pos", *T.extract_block_fields(F.col("piece")))
 
 
+#: What is between numbered sections, and a line that starts one (its line break is the marker's white space where nothing follows the number).
+SECTION_MARK = r"\n\d+\.\s+"
+_NUMBERED = re.compile(r"[0-9]+\.(?:[ \t\x0b\f\r]|$)")
+_WHITE = " \t\x0b\f\r"
+#: Kinds of rows that a part of a file is cut into: lines before its first sure marker, whole sections, the section open at its end, sums.
+HEAD, WHOLE, TAIL, SUMS = range(4)
+
+
+class _SectionCutter:
+    """Cuts one part of a file, line by line, at markers that are sure whatever the part before ends in.
+
+    A marker eats the white space after it, line breaks too, so the first line with text after it is no marker. Until a line
+    comes after which that is the same either way, nothing is sure. A section is kept back until the next has some text, since
+    a bare number that ends the file is no marker.
+    """
+
+    def __init__(self):
+        self.lines: list[str] = []  # of the open section; at first, of the head
+        self.before: list[str] | None = None  # the section before, while the open one has no text
+        self.sure, self.marked, self.eating = False, False, False
+        self.size = self.whole = 0
+
+    def add(self, line: str) -> tuple[int, int, str] | None:
+        """(kind, place, text) of what has ended with this line, if any."""
+        text = line.strip(_WHITE)
+        if not self.sure:
+            self.sure = bool(text) and not re.fullmatch(r"[0-9]+\.", line.rstrip(_WHITE))
+            self.lines.append(line)
+            return None
+        out = None
+        if self.eating:
+            self.lines.append(line)
+            if text:
+                self.eating, out = False, self._close()
+        elif m := _NUMBERED.match(line):
+            self.before, self.lines = self.lines, [line]
+            if line[m.end():].strip(_WHITE):
+                out = self._close()
+            else:
+                self.eating = True
+        else:
+            self.lines.append(line)
+        return out
+
+    def _close(self) -> tuple[int, int, str]:
+        ended, self.before = "\n".join(self.before), None
+        if not self.marked:
+            self.marked = True
+            return HEAD, 0, ended
+        self.whole += 1
+        return WHOLE, self.whole, ended
+
+    def end(self) -> tuple[int, int, str]:
+        lines = self.lines if self.before is None else self.before + self.lines
+        return TAIL if self.marked else HEAD, self.whole + 1, "\n".join(lines)
+
+
+def _section_cuts(lines: DataFrame, kinds: tuple) -> DataFrame:
+    """(file, start, kind, i, raw, size) of rows (file, start, line, size) in the files' order; only the given kinds have rows."""
+    columns = {"file": pa.string(), "start": pa.int64(), "kind": pa.int32(), "i": pa.int64(), "raw": pa.string(), "size": pa.int64()}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, cutter = None, None
+
+        def ended() -> list:
+            return [(*part, *cutter.end(), 0), (*part, SUMS, cutter.whole, "", cutter.size)]
+
+        def rows(found: list) -> pa.RecordBatch:
+            found = [r for r in found if r[2] in kinds]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(columns.values())], list(columns))
+
+        for batch in batches:
+            out = []
+            for file, start, line, size in zip(*(c.to_pylist() for c in batch.columns)):
+                if (file, start) != part:
+                    if part:
+                        out += ended()
+                    part, cutter = (file, start), _SectionCutter()
+                cutter.size += size + 1
+                if found := cutter.add(line):
+                    out.append((*part, *found, 0))
+            yield rows(out)
+        if part:
+            yield rows(ended())
+
+    return lines.mapInArrow(cut, "file string, start long, kind int, i long, raw string, size long")
+
+
 def scan_numbered_sections(spark: SparkSession, path: str) -> DataFrame:
-    """S6 (+T13): split on '\\n<number>.<spaces>', drop the first piece (so item 1 is lost at file start)."""
-    d = spark.read.text(path, wholetext=True)
-    pieces = d.select(F.input_file_name().alias("file"),
-                      F.posexplode(F.split(F.col("value"), r"\n\d+\.\s+")).alias("pos", "section")).where("pos >= 1")
-    return pieces.select("file", "pos", *T.extract_section_fields(F.col("section")))
+    """S6 (+T13): split on '\\n<number>.<spaces>', drop the first piece (so item 1 is lost at file start).
+
+    A large file is read by many tasks (twice: for the pieces at the parts' borders, three rows a part, and for the sections inside). ``pos`` is
+    the section's place in its file.
+    """
+    d = spark.read.option("lineSep", "\n").text(path)
+    meta = F.col("_metadata")
+    lines = d.select(F.input_file_name().alias("file"), meta["file_block_start"].alias("start"), F.col("value").alias("line"), F.octet_length("value").cast("long").alias("size"))
+    pieces = store(_section_cuts(lines, (HEAD, TAIL, SUMS)), "section-pieces")
+
+    sizes = d.groupBy(F.input_file_name().alias("file")).agg(F.first(meta["file_size"]).alias("bytes"))
+    # each line counts as ended; the last may not be, and the reader skips a byte order mark of three bytes
+    ends = pieces.groupBy("file").agg(F.sum("size").alias("size")).join(sizes, "file").select("file", (~(F.col("bytes") - F.col("size")).isin(-1, 2)).alias("ends"))
+    order = Window.partitionBy("file").orderBy("start", "kind")
+    texts = pieces.where(F.col("kind") != SUMS).withColumn("n", F.sum((F.col("kind") == TAIL).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.array_sort(F.collect_list(F.struct("start", "kind", "raw")))
+    groups = texts.groupBy("file", "n").agg(F.min("start").alias("start"), F.array_join(F.transform(parts, lambda p: p["raw"]), "\n").alias("raw")).join(ends, "file")
+    last = F.col("n") == F.max("n").over(Window.partitionBy("file"))
+    raw = F.concat(F.when(F.col("n") > 0, "\n").otherwise(""), "raw", F.when(last & F.col("ends"), "\n").otherwise(""))
+    groups = store(groups.withColumn("raw", raw).select("file", "n", "start", F.split("raw", SECTION_MARK).alias("_s"))
+                   .select("file", "n", "start", F.slice("_s", 2, F.size("_s")).alias("sections")), "section-groups")
+
+    tails = groups.where("n > 0").select("file", "start", F.size("sections").alias("_g"))
+    heads = groups.where("n = 0").select("file", F.size("sections").alias("_g0"))
+    own = pieces.where(F.col("kind") == SUMS).select("file", "start", F.col("i").alias("_w")).join(tails, ["file", "start"], "left").join(heads, "file", "left").na.fill(0, ["_g", "_g0"])
+    earlier = F.coalesce(F.sum(F.col("_w") + F.col("_g")).over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = own.select("file", "start", "_w", (F.col("_g0") + earlier).alias("_at"))
+
+    inside = _section_cuts(lines, (WHOLE,)).join(F.broadcast(own), ["file", "start"]) \
+        .select("file", (F.col("_at") + F.col("i")).alias("pos"), F.split(F.concat(F.lit("\n"), "raw"), SECTION_MARK)[1].alias("section"))
+    at = F.when(F.col("n") > 0, F.col("_at") + F.col("_w")).otherwise(0)
+    across = groups.join(F.broadcast(own), ["file", "start"]).select("file", at.alias("_at"), F.posexplode("sections").alias("_i", "section")) \
+        .select("file", (F.col("_at") + F.col("_i") + 1).alias("pos"), "section")
+    sections = inside.unionByName(across)
+    return sections.select("file", F.col("pos").cast("int").alias("pos"), *T.extract_section_fields(F.col("section")))
 
 
 def scan_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -145,13 +266,12 @@ def write_text_with_header(lines: DataFrame, path: str, header: str) -> None:
     many files repeat it per file (per partition), so readers that drop the
     first piece of a file stay correct.
     """
-    def prepend(it):
-        import pandas as pd
+    def prepend(batches):
         first = True
-        for pdf in it:
+        for batch in batches:
             if first:
-                yield pd.DataFrame({"line": [header]})
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], ["line"])
                 first = False
-            yield pdf[["line"]]
+            yield batch
 
-    lines.toDF("line").mapInPandas(prepend, "line string").write.mode("overwrite").text(path)
+    lines.toDF("line").mapInArrow(prepend, "line string").write.mode("overwrite").text(path)
