@@ -27,7 +27,7 @@ from pyspark.sql import types as St
 
 from tidewater.functions import text as T
 from tidewater.llm.util import store
-from tidewater.operators import clustering, discovery, filters, joins, report, upsert
+from tidewater.operators import clustering, discovery, filters, joins, report, topics, upsert
 from tidewater.operators.ranking import top_n_per_group
 from tidewater.operators.similarity import nearest
 from tidewater.session import cut_lineage
@@ -328,18 +328,27 @@ def top_phrases(df: DataFrame, key: str, text: str, n: int = 10, stop_words: Seq
     return ranked.select(F.col("key").alias(key), "rank", "phrase", "score")
 
 
+#: Weights of words in topics that may lie on the driver.
+DRIVER_NUMBERS = 1 << 20
+
+
 def lda_topics(df: DataFrame, text: str, k: int = 5, words: int = 10, seed: int = 42,
                max_iter: int = 20) -> DataFrame:
-    """K topics x ``words`` top words over alphabetic tokens (CountVectorizer + MLlib LDA)."""
+    """K topics x ``words`` top words over alphabetic tokens (CountVectorizer + MLlib LDA).
+
+    MLlib keeps the vocabulary and the topics' weights on the driver; where these are many, the same steps are made without (``topics``).
+    """
     toks = df.select(T.alpha_tokens(F.col(text)).alias("tokens"))
     n = toks.select(F.explode("tokens").alias("t")).agg(F.count_distinct("t")).first()[0]  # every word is in the vocabulary
+    if n * k > DRIVER_NUMBERS:
+        return topics.topic_words(toks, "tokens", k, words, seed, max_iter)
     cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=max(1, n)).fit(toks)
     lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="tf").fit(cv.transform(toks))
-    topics = lda.describeTopics(words).select("topic", F.posexplode("termIndices").alias("rank", "term_index"))
-    named = sorted({r.term_index for r in topics.select("term_index").collect()})  # k x words at most
+    ranked = lda.describeTopics(words).select("topic", F.posexplode("termIndices").alias("rank", "term_index"))
+    named = sorted({r.term_index for r in ranked.select("term_index").collect()})  # k x words at most
     terms = cv.vocabulary
     vocab = df.sparkSession.createDataFrame([(i, terms[i]) for i in named], "term_index long, term string")
-    return topics.join(F.broadcast(vocab), "term_index").select("topic", "rank", "term").orderBy("topic", "rank")
+    return ranked.join(F.broadcast(vocab), "term_index").select("topic", "rank", "term").orderBy("topic", "rank")
 
 
 # ----------------------------------------------------------------------------- D4
