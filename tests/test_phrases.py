@@ -38,3 +38,13 @@ def test_few_phrases_are_joined(spark):
     dfreq = every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     may = scoring.candidate_phrases(docs, dfreq, len(data), 4)
     assert may.count() < every.count() / 3
+
+
+def test_words_are_made_once_per_slice():
+    import pyarrow as pa
+    lists = [["a", "b", "a"], None, [], ["c"], ["b", "c"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string()))], ["words"])
+    got = list(scoring._lists(batch, rows=2))
+    assert got == [(i, w or []) for i, w in enumerate(lists)]
+    whole = list(scoring._lists(batch))
+    assert whole[0][1][0] is whole[0][1][2] and scoring._phrase_counts(["a", "b", "a", "b"]) == {"a": 2, "b": 2, "a b": 2, "b a": 1}
